@@ -21,12 +21,30 @@ def url_feed(spark):
     return numbers.select("id", hosts.alias("head")).select(F.concat("head", F.col("id").cast("string")).alias("canonical"))
 
 
+#: The surrogates' secret in the registered queries.
+PII_KEY = b"registered-query-key"
+
+
+def op1_pii(spark, sf_dir):
+    from .pii import replace_pii
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return replace_pii(docs, PII_KEY, count_col="n_replaced")
+
+
 def op4_url_filters(spark, sf_dir):
     from .url_filter import url_verdicts
 
     return url_verdicts(table(spark, sf_dir, "pages"), url_feed(spark), URL_RULES)
 
 
+def op5_quality(spark, sf_dir):
+    from .quality import classify_quality
+
+    scored = classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "source", "lang", "quality_evidence", "quality_site", "quality_score", "keep")
+
+
 def op6_sharding(spark, sf_dir):
     from .sharding import karmarkar_karp_shards
 
@@ -48,7 +66,9 @@ def op8_ann(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op4_url_filters": op4_url_filters,
+    "op5_quality": op5_quality,
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
     "op8_ann": op8_ann,
