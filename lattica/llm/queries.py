@@ -65,6 +65,12 @@ def op8_ann(spark, sf_dir):
     return permutation_search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op10_jaccard(spark, sf_dir):
+    from .jaccard import similarity_components
+
+    return similarity_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op4_url_filters": op4_url_filters,
@@ -72,6 +78,7 @@ QUERIES = {
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
     "op8_ann": op8_ann,
+    "op10_jaccard": op10_jaccard,
 }
 
 SQL = {
