@@ -36,23 +36,12 @@ def _orders(vectors: np.ndarray, pivots: np.ndarray, length: int) -> np.ndarray:
     return np.argsort(far, axis=1, kind="stable")[:, :length].astype(np.int32)
 
 
-def _files(orders: np.ndarray, n_pivots: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each pivot, the rows in whose orders it stands, and its places there."""
+def _places(orders: np.ndarray, n_pivots: int) -> np.ndarray:
+    """Inverted files: a row for each pivot, with its place in every vector's order (the order's length where it is not in it)."""
     n, length = orders.shape
-    pivot, row, place = orders.reshape(-1), np.repeat(np.arange(n, dtype=np.int32), length), np.tile(np.arange(length, dtype=np.int32), n)
-    by = np.argsort(pivot, kind="stable")
-    ends = np.searchsorted(pivot[by], np.arange(n_pivots + 1))
-    return [(row[by[a:b]], place[by[a:b]]) for a, b in zip(ends, ends[1:], strict=False)]
-
-
-def _footrule(files: list, order: np.ndarray, n: int, length: int) -> np.ndarray:
-    """Sum of the differences of places over the query's pivots; a pivot that an order lacks stands at ``length``."""
-    own = np.arange(length)
-    total = np.full(n, int((length - own).sum()), np.int64)
-    for at, pivot in enumerate(order):
-        rows, places = files[pivot]
-        total[rows] += np.abs(places - at) - (length - at)
-    return total
+    files = np.full((n_pivots, n), length, np.int16)
+    np.put_along_axis(files, orders.T, np.arange(length, dtype=np.int16)[:, None], axis=0)
+    return files
 
 
 def permutation_search(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -101,11 +90,12 @@ def permutation_search(vectors: DataFrame, is_query, k: int = 10, id_col: str =
         if len(asked) and len(held):
             held = held.sort_values("entry", kind="stable")
             ids, vecs = held["entry"].to_numpy(), np.stack(held["vec"].to_numpy())
-            files = _files(_orders(vecs, pivots, length), len(pivots))
+            files = _places(_orders(vecs, pivots, length), len(pivots))
             take = min(len(held), max(RERANK, int(len(held) * RERANK_SHARE)))
             wanted = np.stack(asked["vec"].to_numpy())
-            for q, vec, order in zip(asked["vec_id"], wanted, _orders(wanted, pivots, length), strict=True):
-                near = np.argsort(_footrule(files, order, len(held), length), kind="stable")[:take]
+            for q, vec, own in zip(asked["vec_id"], wanted, _places(_orders(wanted, pivots, length), len(pivots)).T, strict=True):
+                footrule = np.abs(files - own[:, None]).sum(0, dtype=np.int32)
+                near = np.argpartition(footrule, take - 1)[:take]
                 score = np.sqrt(((vecs[near] - vec) ** 2).sum(1))
                 best = np.lexsort((ids[near], score))[: k + 1]
                 out.append((np.full(len(best), q), ids[near][best], score[best]))
