@@ -32,6 +32,12 @@ def op1_pii(spark, sf_dir):
     return replace_pii(docs, PII_KEY, count_col="n_replaced")
 
 
+def op3_line_dedup(spark, sf_dir):
+    from .line_dedup import line_dedup
+
+    return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), count_col="n_removed")
+
+
 def op4_url_filters(spark, sf_dir):
     from .url_filter import url_verdicts
 
@@ -73,6 +79,7 @@ def op10_jaccard(spark, sf_dir):
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op3_line_dedup": op3_line_dedup,
     "op4_url_filters": op4_url_filters,
     "op5_quality": op5_quality,
     "op6_sharding": op6_sharding,
