@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,80 +23,86 @@ from . import kk
 from .common import arrow_rows
 
 #: Bytes of text tokenised at once; words that a worker remembers; windows that fill a block.
-CHUNK_BYTES, CACHE_WORDS, BLOCK_WINDOWS = 4_000_000, 400_000, 128
+CHUNK_BYTES, CACHE_WORDS, BLOCK_WINDOWS = 3_000_000, 350_000, 128
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 class WordTokenizer:
     """Ids of a tokenizer whose pre-tokens never reach over white space, a word at a time.
 
-    A word of printable ASCII is split by the tokenizer's own pattern and each
-    part is given to its model; every other word goes through the whole
-    tokenizer.  Words are remembered, up to a bound.
+    Texts are lowered (A-Z) and cut at white space and behind each ASCII letter
+    that ASCII punctuation follows, where the tokenizer cuts too.  A word of
+    ASCII letters goes to the tokenizer's model, other printable ASCII through
+    its pattern first, every other word through the whole tokenizer.  Words are
+    remembered, up to a bound.  A text that may hold a special token's string
+    goes through the whole tokenizer as it is.
     """
 
     #: The tokenizer's own pre-token pattern, for ASCII text.
     PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
     PLAIN = re.compile(r"[!-~]+")
+    CUT = r"([a-z])([!-/:-@\[-`{-~])"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end: int):
         from tokenizers import Tokenizer
 
+        self.end = end
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.clear()
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.parts: dict[str, list[int]] = {}
-        self.flat = np.empty(1 << 16, np.uint32)
-        self.used = 0
-        self.first: list[int] = []
-        self.size: list[int] = []
-
-    def _part(self, p: str) -> list[int]:
-        got = self.parts.get(p)
-        if got is None:
-            got = self.parts[p] = [t.id for t in self.model.tokenize(p)]
-        return got
+        # word 0 is the end of a text
+        self.flat = np.array([self.end], np.uint32)
+        self.first = np.zeros(1, np.int32)
+        self.size = np.ones(1, np.int32)
 
     def _learn(self, words: list[str]) -> None:
-        rest = []
-        for w in words:
-            if self.PLAIN.fullmatch(w) and "<|" not in w:
-                self._put(w, [i for p in self.PARTS.findall(w.lower()) for i in self._part(p)])
-            else:
-                rest.append(w)
-        if rest:
-            for w, e in zip(rest, self.whole.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-                self._put(w, e.ids)
-
-    def _put(self, word: str, ids: list[int]) -> None:
-        n = len(ids)
-        while self.used + n > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        self.flat[self.used : self.used + n] = ids
-        self.known[word] = len(self.first)
-        self.first.append(self.used)
-        self.size.append(n)
-        self.used += n
+        tokenize, parts, plain = self.model.tokenize, self.PARTS.findall, self.PLAIN.fullmatch
+        letters = [w for w in words if w.isascii() and w.isalpha()]
+        others = [w for w in words if not (w.isascii() and w.isalpha())]
+        printed = [w for w in others if w.isascii() and plain(w)]
+        rest = [w for w in others if not (w.isascii() and plain(w))]
+        ids = [[t.id for t in tokenize(w)] for w in letters]
+        ids += [[t.id for p in parts(w) for t in tokenize(p)] for w in printed]
+        ids += [e.ids for e in self.whole.encode_batch_fast(rest, add_special_tokens=False)]
+        at = len(self.size)
+        self.known.update(zip(letters + printed + rest, range(at, at + len(ids)), strict=True))
+        size = np.fromiter(map(len, ids), np.int32, len(ids))
+        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size, dtype=np.int32) - size])
+        self.size = np.concatenate([self.size, size])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))])
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts one after another, and where each text's ids begin and end (n + 1 places)."""
-        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        """All ids of the texts, the end id behind each, one after another; and where each text's ids begin and end (n + 1 places)."""
+        texts = pc.fill_null(texts, "")
+        special = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
+        if special.any():
+            return self._mixed(texts, special)
+        split = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.ascii_lower(texts), self.CUT, r"\1 \2"))
         words = split.flatten().dictionary_encode()
         if len(self.known) > CACHE_WORDS:
             self.clear()
         names = words.dictionary.to_pylist()
-        self._learn([w for w in names if w not in self.known])
-        at = np.fromiter((self.known[w] for w in names), np.int64, len(names))
-        first, size = np.asarray(self.first, np.int64)[at], np.asarray(self.size, np.int64)[at]
-        which = words.indices.to_numpy(zero_copy_only=False)
-        lengths = size[which]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self.flat[np.repeat(first[which] - ends[:-1], lengths) + np.arange(ends[-1])]
-        offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))]).astype(np.int64)
-        return ids, ends[offsets]
+        at = list(map(self.known.get, names))
+        if None in at:
+            self._learn([w for w, i in zip(names, at, strict=True) if i is None])
+            at = list(map(self.known.__getitem__, names))
+        which = np.array(at, np.int32)[words.indices.to_numpy(zero_copy_only=False)]
+        counts = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+        which = np.insert(which, np.cumsum(counts), 0)
+        lengths = self.size[which]
+        ends = np.cumsum(lengths, dtype=np.int32)
+        ids = self.flat[np.repeat(self.first[which] - ends + lengths, lengths) + np.arange(ends[-1], dtype=np.int32)]
+        return ids, np.concatenate([[0], ends[np.cumsum(counts + 1) - 1]])
+
+    def _mixed(self, texts: pa.Array, special: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        parts = []
+        for i, whole in enumerate(special.tolist()):
+            one = texts.slice(i, 1)
+            parts.append(np.array([*self.whole.encode(one[0].as_py(), add_special_tokens=False).ids, self.end], np.uint32) if whole else self(one)[0])
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
 
 def chunks(texts: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, pa.Array]]:
@@ -155,13 +162,13 @@ class Packer:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
 
-def pack(docs: DataFrame, encoder: Callable[[], Callable], capacity: int = 2048, piece: int = 512, eos: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pack every document's ids, each followed by ``eos``, into windows of ``capacity`` ids.
+def pack(docs: DataFrame, encoder: Callable[[], Callable], capacity: int = 2048, piece: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Pack every document's ids, with an end id behind them, into windows of ``capacity`` ids.
 
     ``encoder`` is called once in each worker and gives a function from an
-    Arrow array of texts to (ids, bounds).  One row a piece: doc_id, start,
+    Arrow array of texts to (ids with end ids, bounds).  One row a piece: doc_id, start,
     length, ids_crc32, doc_tokens, sequence_id, offset.  A null or empty text
-    is the one id ``eos``.  A null id stays null; rows that repeat an id are
+    is the one end id.  A null id stays null; rows that repeat an id are
     packed each by itself.  No rows in: no rows out.  Other columns are not read.
     No shuffle: a block is part of an input partition, so a task that is run
     again over the same partition gives the same rows.
@@ -177,9 +184,6 @@ def pack(docs: DataFrame, encoder: Callable[[], Callable], capacity: int = 2048,
             names, texts = batch.column(0).to_pylist(), batch.column(1)
             for a, part in chunks(texts):
                 ids, bounds = encode(part)
-                # the end id goes behind each text
-                ids = np.insert(ids.astype(np.uint32), bounds[1:], eos)
-                bounds = bounds + np.arange(len(bounds))
                 for i in range(len(part)):
                     packer.add(names[a + i], ids[bounds[i] : bounds[i + 1]])
             if len(packer.out) >= 5000:
@@ -191,6 +195,6 @@ def pack(docs: DataFrame, encoder: Callable[[], Callable], capacity: int = 2048,
     return source.mapInArrow(run, SCHEMA)
 
 
-def word_bpe(path: str) -> Callable[[], WordTokenizer]:
-    """An encoder for ``pack``: the tokenizer file at ``path``, which every worker can read."""
-    return lambda: WordTokenizer(path)
+def word_bpe(path: str, end: int = 1) -> Callable[[], WordTokenizer]:
+    """An encoder for ``pack``: the tokenizer file at ``path``, which every worker can read, and the end id."""
+    return lambda: WordTokenizer(path, end)
