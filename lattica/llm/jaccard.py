@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_rows, materialise
@@ -162,69 +162,77 @@ def similarity_components(docs: DataFrame, num: int = 90, den: int = 100, words:
     nodes = materialise(rows.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("node")), "jaccard-nodes")
 
     # tiles with at least two nodes; of tiles with the same members one is enough
-    posts = rows.join(nodes, (rows["set_key"] == nodes["set_key"]) & (rows["doc_id"] == nodes["node"]), "left_semi").select(F.col("doc_id").alias("node"), F.explode("tiles").alias("tile")).distinct()
-    posts = materialise(posts, "jaccard-posts")
-    named = posts.groupBy("tile").agg(F.count("*").alias("members"), F.min("node").alias("hub"), F.max("node").alias("last"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("who"))
-    named = named.where("members > 1").groupBy("members", "hub", "last", "who").agg(F.min("tile").alias("tile"))
-    named = materialise(named.select("tile", "members", "hub"), "jaccard-tiles")
-    tiles = materialise(posts.join(named, "tile").select("tile", "members", "hub", "node"), "jaccard-members")
-
-    # points and sets of the nodes in tiles, from their texts again
-    wanted = materialise(tiles.select(F.col("node").alias("doc_id")).distinct(), "jaccard-wanted")
+    posts = rows.join(nodes, (rows["set_key"] == nodes["set_key"]) & (rows["doc_id"] == nodes["node"]), "left_semi").select(F.col("doc_id").alias("node"), F.explode("tiles").alias("tile"))
+    in_tile = Window.partitionBy("tile")
+    posts = posts.withColumn("hub", F.min("node").over(in_tile)).withColumn("last", F.max("node").over(in_tile))
+    shared = materialise(posts.where("hub <> last").select("tile", "hub", "node").distinct(), "jaccard-shared")
+    named = shared.groupBy("tile", "hub").agg(F.count("*").alias("members"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("who"))
+    named = named.groupBy("members", "hub", "who").agg(F.min("tile").alias("tile"))
+    tiles = materialise(shared.join(named.select("tile", "members"), "tile"), "jaccard-tiles")
+
+    # points and sets of the nodes in tiles, from their texts again; a row that repeats a node's id with another set is left out
+    wanted = nodes.join(tiles.select("node").distinct(), "node").select(F.col("node").alias("doc_id"), F.col("set_key").alias("wanted_key"))
+    wanted = materialise(wanted, "jaccard-wanted")
     few = wanted.count() <= BROADCAST_IDS
-    picked = source.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
+    picked = source.join(F.broadcast(wanted) if few else wanted, "doc_id").select("doc_id", "text", "wanted_key")
 
     def detail(batches):
         for batch in batches:
             for a, part in chunks(batch.column(1)):
+                ids, keys = batch.column(0).slice(a, len(part)), batch.column(2).slice(a, len(part)).to_pylist()
                 sets = shingle_sets(part, words)
-                keys = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, len(part)), pa.array(keys, pa.binary()), pa.array([p.tolist() for p in points(sets)], pa.list_(pa.int32())), _longs(sets)], ["node", "set_key", "point", "shingles"])
-
-    details = picked.mapInArrow(detail, "node long, set_key binary, point array<int>, shingles array<long>")
-    details = materialise(details.join(nodes.select("set_key", "node"), ["set_key", "node"], "left_semi").select("node", "point", "shingles"), "jaccard-details")
-
-    side = lambda name, *cols: details.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in cols])
-    pairs = tiles.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    minima = F.aggregate(F.zip_with("point_a", "point_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    sums = F.aggregate("point_a", F.lit(0), lambda s, x: s + x) + F.aggregate("point_b", F.lit(0), lambda s, x: s + x)
-    alive = pairs.join(side("a", "point").hint("merge"), "a").join(side("b", "point").hint("merge"), "b").where(minima * (num + den) >= sums * num).select("a", "b")
-    both = alive.join(side("a", "shingles").hint("merge"), "a").join(side("b", "shingles").hint("merge"), "b")
-    shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
-    links = materialise(both.where(shared * (num + den) >= (F.size("shingles_a") + F.size("shingles_b")) * num).select("a", "b"), "jaccard-links")
+                keep = [i for i, s in enumerate(sets) if xxhash.xxh3_128_digest(s.tobytes()) == keys[i]]
+                sets = [sets[i] for i in keep]
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(keep, pa.int64())), pa.array([p.tolist() for p in points(sets)], pa.list_(pa.int32())), _longs(sets)], ["node", "point", "shingles"])
+
+    details = materialise(picked.mapInArrow(detail, "node long, point array<int>, shingles array<long>"), "jaccard-details")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs that link: the bound by minima first, then the sets."""
+        pairs = materialise(pairs.distinct(), "jaccard-pairs")
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        if ids.count() <= BROADCAST_IDS:
+            ids = F.broadcast(ids)
+        named = details.join(ids, "node", "left_semi")
+        side = lambda name: named.select(*[F.col(c).alias(name if c == "node" else f"{c}_{name}") for c in ("node", "point", "shingles")])
+        both = pairs.join(side("a"), "a").join(side("b"), "b")
+        minima = F.aggregate(F.zip_with("point_a", "point_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+        sizes = (F.size("shingles_a") + F.size("shingles_b")) * num
+        shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
+        alive = F.when(minima * (num + den) >= sizes, shared * (num + den) >= sizes).otherwise(F.lit(False))
+        return materialise(both.where(alive).select("a", "b"), "jaccard-links")
+
+    def unresolved(labels: DataFrame) -> DataFrame:
+        """Members, with their labels, of tiles of three and more that still hold several labels."""
+        told = tiles.where("members > 2").join(labels.withColumnRenamed("id", "node"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+        apart = told.groupBy("tile").agg(F.min("label").alias("x"), F.max(F.struct("label", (-F.col("node")).alias("n"))).alias("y")).where("x <> y.label")
+        return materialise(told.join(apart.select("tile", F.col("y.label").alias("second_label"), (-F.col("y.n")).alias("second")), "tile"), "jaccard-apart")
+
+    links = verified(tiles.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")))
     labels = components(links)
-
-    # tiles of three and more whose members are still apart
-    told = tiles.where("members > 2").join(labels.withColumnRenamed("id", "node"), "node", "left").withColumn("label", F.coalesce("label", "node"))
-    apart = told.groupBy("tile").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("tile")
-    told = told.join(apart, "tile", "left_semi").withColumn("parts", F.ceil(F.col("members") / CHUNK).cast("int")).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    # a chunk meets every chunk, itself included: (smaller, larger)
-    met = told.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("tile", F.least("part", "other").alias("c"), F.greatest("part", "other").alias("d"), "part", "node", "label")
-    met = met.join(details, "node")
-
-    def join_chunks(pdf: pd.DataFrame) -> pd.DataFrame:
-        left = pdf[pdf["part"] == pdf["c"]].reset_index(drop=True)
-        right = pdf[pdf["part"] == pdf["d"]].reset_index(drop=True)
-        parent: dict = {}
-
-        def root(x):
-            while parent.setdefault(x, x) != x:
-                parent[x] = x = parent[parent[x]]
-            return x
-
-        out = []
-        sets = [[np.asarray(s).view(np.uint64) for s in side["shingles"]] for side in (left, right)]
-        for i, j in tree_join(np.stack(left["point"].to_numpy()), np.stack(right["point"].to_numpy()), num, den) if len(left) and len(right) else ():
-            x, y = root(left["label"][i]), root(right["label"][j])
-            if x == y:
-                continue
-            s, t = sets[0][i], sets[1][j]
-            if len(np.intersect1d(s, t, assume_unique=True)) * (num + den) >= (len(s) + len(t)) * num:
-                parent[x] = y
-                out.append((left["node"][i], right["node"][j]))
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
-
-    more = met.groupBy("tile", "c", "d").applyInPandas(join_chunks, "a long, b long")
-    labels = components(links.unionByName(more)).withColumnRenamed("id", "node")
+    told = unresolved(labels)
+    if not told.isEmpty():
+        # a second star, about a node of the tile's last label
+        again = told.where("label <> second_label and node <> hub").select(F.col("second").alias("a"), F.col("node").alias("b"))
+        links = links.unionByName(verified(again))
+        told = unresolved(components(links))
+        # what is still apart is joined in full: a chunk meets every chunk, itself included, as (smaller, larger)
+        told = told.withColumn("parts", F.ceil(F.col("members") / CHUNK).cast("int")).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        met = told.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("tile", F.least("part", "other").alias("c"), F.greatest("part", "other").alias("d"), "part", "node", "label")
+        met = met.join(details.select("node", "point"), "node")
+
+        def join_chunks(pdf: pd.DataFrame) -> pd.DataFrame:
+            left = pdf[pdf["part"] == pdf["c"]].reset_index(drop=True)
+            right = pdf[pdf["part"] == pdf["d"]].reset_index(drop=True)
+            out = []
+            if len(left) and len(right):
+                a, b = left["node"].to_numpy(), right["node"].to_numpy()
+                x, y = left["label"].to_numpy(), right["label"].to_numpy()
+                out = [(min(a[i], b[j]), max(a[i], b[j])) for i, j in tree_join(np.stack(left["point"].to_numpy()), np.stack(right["point"].to_numpy()), num, den) if x[i] != y[j]]
+            return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+        links = links.unionByName(verified(met.groupBy("tile", "c", "d").applyInPandas(join_chunks, "a long, b long")))
+        labels = components(links)
+    labels = labels.withColumnRenamed("id", "node")
     found = nodes.join(labels, "node", "left").select("set_key", F.coalesce("label", "node").alias("found"))
     return rows.join(found, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("found", "doc_id").alias("component_id"))
