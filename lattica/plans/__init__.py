@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from . import geo_queries, observation_queries  # noqa: F401
+from .carriers import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL"]
