@@ -1,9 +1,9 @@
 """Near-duplicate lines by an exact set-similarity join, in DataFrame functions only.
 
-A line is the set of its tokens.  Tokens are ordered by rarity, so that a short
-prefix of the rarest decides which lines can be alike at all; prefix, position
-and length filters leave few pairs, which are verified by their Jaccard
-similarity.  A line that an earlier line matches is removed.
+A line's tokens are its shingles of five words.  They are ordered by rarity, so
+that a short prefix of the rarest decides which lines can be alike at all;
+prefix, position and length filters leave few pairs, which are verified by their
+Jaccard similarity.  A line that an earlier line matches is removed.
 """
 
 from __future__ import annotations
@@ -27,12 +27,33 @@ def rarity(docs: DataFrame, text_col: str) -> DataFrame:
     return classes.agg(F.transform(F.sort_array(F.collect_list(F.struct("bucket", "c"))), lambda x: x["c"]).alias("classes"))
 
 
-def tokens(line: Column, classes: Column) -> Column:
-    """The line's distinct tokens as numbers, rarest first: frequency class, then 58 bits of a hash."""
-    hashes = F.array_distinct(F.transform(F.split(line, " "), lambda w: F.xxhash64(w)))
-    hashes = F.array_remove(hashes, F.xxhash64(F.lit("")))
-    number = lambda h: F.get(classes, F.shiftrightunsigned(h, 64 - BUCKET_BITS).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 6))
-    return F.sort_array(F.transform(hashes, number))
+#: The upper half of a number holds the frequency class and a part of the rarest word, the lower half a hash.
+UPPER, LOWER = -(1 << 32), (1 << 32) - 1
+
+
+def tokens(lines: DataFrame, classes: DataFrame) -> DataFrame:
+    """``lines`` (doc, place, line) with ``tokens``: the distinct five-word shingles as numbers, those with the rarest words first.
+
+    A word's number is its frequency class and 58 bits of its hash.  Numbers are
+    joined two by two: the smaller one's upper half, a hash of both as the lower.
+    Each step is a projection of its own, so that none is computed twice.
+    """
+
+    def joined(of: str, by: int):
+        both = lambda x, y: F.least(x, y).bitwiseAND(F.lit(UPPER)).bitwiseOR(F.xxhash64(x, y).bitwiseAND(F.lit(LOWER)))
+        return F.zip_with(of, F.slice("words", by + 1, F.size("words")) if of == "four" else F.slice(of, by + 1, F.size("words")), both)
+
+    number = lambda h: F.get("classes", F.shiftrightunsigned(h, 64 - BUCKET_BITS).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 6))
+    hashes = F.transform(F.array_remove(F.split("line", " "), ""), lambda w: F.xxhash64(w))
+    held = lines.select("doc", "place", "line", classes.select("classes").scalar().alias("classes"))
+    held = held.select("doc", "place", F.transform(hashes, number).alias("words"))
+    held = held.select("doc", "place", "words", joined("words", 1).alias("two"))
+    held = held.select("doc", "place", "words", joined("two", 2).alias("four"))
+    held = held.select("doc", "place", "words", joined("four", 4).alias("five"))
+    n = F.greatest(F.size("words") - 4, F.lit(0))
+    made = held.select("doc", "place", F.sort_array(F.array_distinct(F.slice("five", F.lit(1), n))).alias("made"))
+    # explode keeps a filter on the tokens from computing them a second time
+    return made.select("doc", "place", F.explode(F.array("made")).alias("tokens"))
 
 
 def _least_overlap(n: Column, num: int, den: int) -> Column:
@@ -40,42 +61,38 @@ def _least_overlap(n: Column, num: int, den: int) -> Column:
     return F.call_function("div", n * num + (den - 1), F.lit(den)).cast("int")
 
 
-def line_dedup(docs: DataFrame, num: int = 4, den: int = 5, min_tokens: int = 5, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None) -> DataFrame:
-    """``docs`` without the lines that an earlier line matches (Jaccard of token sets >= num/den).
+def line_dedup(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None) -> DataFrame:
+    """``docs`` without the lines that an earlier line matches (Jaccard of five-word shingles >= num/den).
 
-    Lines end at line feeds, tokens stand between spaces, order is that of
-    (id, place in the text).  A line is removed if any earlier line matches,
-    also one that is removed itself.  Lines of fewer than ``min_tokens``
-    distinct tokens, blank ones among them, stay.  ``count_col``: if given, a
-    column with the number of removed lines.  Null texts stay null; a text all
-    of whose lines go becomes empty.  Rows that repeat an id are one document,
-    rows without an id keep their text.  No rows in: no rows out.  All columns
-    stay, but one already called ``count_col`` is replaced.
+    Lines end at line feeds, words stand between spaces, order is that of (id,
+    place in the text).  A line is removed if any earlier line matches, also one
+    that is removed itself.  Lines of fewer than five words, blank ones among
+    them, stay.  ``count_col``: if given, a column with the number of removed
+    lines.  Null texts stay null; a text all of whose lines go becomes empty.
+    Rows that repeat an id are one document, rows without an id keep their
+    text.  No rows in: no rows out.  All columns stay, but one already called
+    ``count_col`` is replaced.
     """
     source = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).where("doc is not null and text is not null")
     classes = materialise(rarity(source, "text"), "line-rarity")
 
     def lines(of: DataFrame) -> DataFrame:
-        cut = of.select("doc", F.posexplode(F.split("text", "\n")).alias("place", "line")).where(F.length("line") >= 2 * min_tokens - 1)
-        held = cut.select("doc", "place", "line", classes.select("classes").scalar().alias("classes"))
-        made = held.select("doc", "place", tokens(F.col("line"), F.col("classes")).alias("made"))
-        # explode keeps the filter below from computing the tokens a second time
-        made = made.select("doc", "place", F.explode(F.array("made")).alias("tokens"))
-        return made.where(F.size("tokens") >= min_tokens)
+        cut = of.select("doc", F.posexplode(F.split("text", "\n")).alias("place", "line")).where(F.length("line") >= 9)
+        return tokens(cut, classes).where(F.size("tokens") > 0)
 
     # one class for each token set: its first line and the probing prefix; partial aggregation takes copies where they lie
     n = F.size("tokens")
-    prefix = F.transform(F.slice("tokens", F.lit(1), n - _least_overlap(n, num, den) + 1), lambda t: t.bitwiseAND(0x7FFFFFFF).cast("int"))
+    prefix = F.transform(F.slice("tokens", F.lit(1), n - _least_overlap(n, num, den) + 1), lambda t: F.hash(t))
     described = lines(source).select(F.xxhash64("tokens").alias("set"), F.struct("doc", "place", n.alias("n"), prefix.alias("prefix")).alias("first"))
     sets = materialise(described.groupBy("set").agg(F.min("first").alias("first")).select("set", "first.*"), "line-sets")
 
     # the longer set probes with all of its prefix, the shorter one is found under the shorter indexing prefix
     posts = sets.select("set", "n", F.posexplode("prefix").alias("at", "token")).withColumn("indexed", F.expr(f"at < n - (n * {2 * num} + {num + den - 1}) div {num + den} + 1"))
     posts = posts.repartition("token")
-    x, y = posts.alias("x"), posts.where("indexed").alias("y")
+    x, y = posts.alias("x"), posts.alias("y")
     longer = F.expr("x.n > y.n or (x.n = y.n and x.set <> y.set)")
     needed = F.expr(f"({num} * (x.n + y.n) + {num + den - 1}) div {num + den}")
-    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & longer & (F.col("y.n") * den >= F.col("x.n") * num) & (F.least(F.expr("x.n - x.at"), F.expr("y.n - y.at")) >= needed))
+    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & F.col("y.indexed") & longer & (F.col("y.n") * den >= F.col("x.n") * num) & (F.least(F.expr("x.n - x.at"), F.expr("y.n - y.at")) >= needed))
     pairs = materialise(pairs.select(F.greatest("x.set", "y.set").alias("a"), F.least("x.set", "y.set").alias("b")).distinct(), "line-pairs")
 
     # whole token sets of the lines in pairs
@@ -95,8 +112,8 @@ def line_dedup(docs: DataFrame, num: int = 4, den: int = 5, min_tokens: int = 5,
     rows = docs.select(*out)
     kept = kept.select(F.col("doc").alias("__doc"), F.col("kept").alias("__kept"))
     joined = rows.join(kept, rows[id_col] == F.col("__doc"), "left").select(*[rows[c] for c in out], "__kept")
-    short = lambda line: F.size(F.array_remove(F.array_distinct(F.split(line, " ")), "")) < min_tokens
-    stays = lambda line, i: F.coalesce(F.array_contains("__kept", i), F.lit(False)) | (F.length(line) < 2 * min_tokens - 1) | short(line)
+    short = lambda line: (F.length(line) < 9) | (F.size(F.array_remove(F.split(line, " "), "")) < 5)
+    stays = lambda line, i: F.coalesce(F.array_contains("__kept", i), F.lit(False)) | short(line)
     cut = F.split(F.col(text_col), "\n")
     joined = joined.withColumn("__lines", F.when(F.col(id_col).isNull(), cut).otherwise(F.filter(cut, stays)))
     text = F.array_join("__lines", "\n").alias(text_col)
