@@ -116,9 +116,9 @@ def apply_decisions(hubs: DataFrame, links: DataFrame, decisions: DataFrame, gro
     faults = d.withColumn("reasons", reasons).where(F.size("reasons") > 0).select("source_key", F.array_join("reasons", "+").alias("reasons"))
     confirmed = d.where(confirm & F.col("target_hub_key").isNotNull()).select(F.col("target_hub_key").alias("hub_key"), F.col("transfer_basis").alias("__basis")).distinct()
     old = hubs.join(confirmed, "hub_key", "left").select("hub_key", F.coalesce("__basis", "transfer_basis").alias("transfer_basis"), F.when(F.col("__basis").isNotNull(), "confirmed").otherwise(F.col("review_status")).alias("review_status"))
-    new = d.where(confirm & ~exists).select(F.col("target_hub_key").alias("hub_key"), "transfer_basis", F.lit("confirmed").alias("review_status")).distinct()
+    new = d.where(confirm & ~exists & F.col("target_hub_key").isNotNull()).select(F.col("target_hub_key").alias("hub_key"), "transfer_basis", F.lit("confirmed").alias("review_status")).distinct()
     old_links = links.join(confirmed.withColumn("__c", F.lit(True)).select("hub_key", "__c"), "hub_key", "left").select("hub_key", "group_key", F.when(F.col("__c"), F.lit(1)).otherwise(F.col("is_manual")).alias("is_manual"))
-    new_links = exploded.where("group_key is not null").select(F.col("target_hub_key").alias("hub_key"), "group_key", F.lit(1).alias("is_manual")).distinct()
+    new_links = exploded.where("group_key is not null and target_hub_key is not null").select(F.col("target_hub_key").alias("hub_key"), "group_key", F.lit(1).alias("is_manual")).distinct()
     return old.unionByName(new), old_links.unionByName(new_links), faults
 
 

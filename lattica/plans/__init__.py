@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import geo_queries, observation_queries  # noqa: F401
+from . import geo_queries, identity_queries, observation_queries, ranking_queries  # noqa: F401
 from .carriers import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
