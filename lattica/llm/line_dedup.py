@@ -80,34 +80,47 @@ def line_dedup(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_i
         cut = of.select("doc", F.posexplode(F.split("text", "\n")).alias("place", "line")).where(F.length("line") >= 9)
         return tokens(cut, classes).where(F.size("tokens") > 0)
 
-    # one class for each token set: its first line and the probing prefix; partial aggregation takes copies where they lie
+    # one line for each token set, the first, with its prefix; partial aggregation takes copies where they lie
     n = F.size("tokens")
     prefix = F.transform(F.slice("tokens", F.lit(1), n - _least_overlap(n, num, den) + 1), lambda t: F.hash(t))
     described = lines(source).select(F.xxhash64("tokens").alias("set"), F.struct("doc", "place", n.alias("n"), prefix.alias("prefix")).alias("first"))
-    sets = materialise(described.groupBy("set").agg(F.min("first").alias("first")).select("set", "first.*"), "line-sets")
-
-    # the longer set probes with all of its prefix, the shorter one is found under the shorter indexing prefix
-    posts = sets.select("set", "n", F.posexplode("prefix").alias("at", "token")).withColumn("indexed", F.expr(f"at < n - (n * {2 * num} + {num + den - 1}) div {num + den} + 1"))
-    posts = posts.repartition("token")
-    x, y = posts.alias("x"), posts.alias("y")
-    longer = F.expr("x.n > y.n or (x.n = y.n and x.set <> y.set)")
-    needed = F.expr(f"({num} * (x.n + y.n) + {num + den - 1}) div {num + den}")
-    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & F.col("y.indexed") & longer & (F.col("y.n") * den >= F.col("x.n") * num) & (F.least(F.expr("x.n - x.at"), F.expr("y.n - y.at")) >= needed))
-    pairs = materialise(pairs.select(F.greatest("x.set", "y.set").alias("a"), F.least("x.set", "y.set").alias("b")).distinct(), "line-pairs")
-
-    # whole token sets of the lines in pairs
-    asked = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct().join(sets.select("set", "doc", "place"), "set")
-    asked = materialise(asked, "line-asked")
+    sets = materialise(described.groupBy("set").agg(F.min("first").alias("first")).select("first.*"), "line-sets")
+
+    # posts of tokens that several lines have in their prefixes, each with the token's first line
+    posts = sets.select("doc", "place", "n", F.posexplode("prefix").alias("at", "token")).repartition("token")
+    firsts = posts.groupBy("token").agg(F.count("*").alias("lines"), F.min(F.struct("doc", "place", "n", "at")).alias("hub")).where("lines > 1")
+    shared = materialise(posts.join(firsts.select("token", "hub"), "token"), "line-posts")
+
+    # length and position filters: the most that two lines can have in common, given the places of one common token
+    def may(x: str, y: str) -> Column:
+        needed = f"({num} * ({x}.n + {y}.n) + {num + den - 1}) div {num + den}"
+        return F.expr(f"{x}.n * {den} >= {y}.n * {num} and {y}.n * {den} >= {x}.n * {num} and least({x}.at, {y}.at) + 1 + least({x}.n - {x}.at, {y}.n - {y}.at) - 1 >= {needed}")
+
+    asked = materialise(shared.select("doc", "place").distinct(), "line-asked")
     ids = asked.select("doc").distinct()
     few = asked.count() <= BROADCAST_IDS
     again = lines(source.join(F.broadcast(ids) if few else ids, "doc", "left_semi"))
-    whole = materialise(again.join(asked, ["doc", "place"]).groupBy("set").agg(F.min(F.struct("doc", "place", "tokens")).alias("m")).select("set", "m.*"), "line-tokens")
-    side = lambda s: whole.select(F.col("set").alias(s), F.struct("doc", "place").alias(f"first_{s}"), F.col("tokens").alias(f"tokens_{s}"))
-    shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
-    alike = pairs.join(side("a"), "a").join(side("b"), "b").where(shared * (num + den) >= (F.size("tokens_a") + F.size("tokens_b")) * num)
-    later = alike.select(F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("set")).distinct()
-
-    kept = sets.join(later, "set", "left_anti").groupBy("doc").agg(F.collect_set("place").alias("kept"))
+    whole = materialise(again.join(asked, ["doc", "place"]).groupBy("doc", "place").agg(F.min("tokens").alias("tokens")), "line-tokens")
+
+    def matched(pairs: DataFrame) -> DataFrame:
+        """Of pairs (earlier, later), the later lines whose sets are alike enough."""
+        side = lambda s: whole.select(F.struct("doc", "place").alias(s), F.col("tokens").alias(f"{s}_tokens"))
+        both = pairs.distinct().join(side("earlier"), "earlier").join(side("later"), "later")
+        common = F.size(F.array_intersect("earlier_tokens", "later_tokens"))
+        alike = both.where(common * (num + den) >= (F.size("earlier_tokens") + F.size("later_tokens")) * num)
+        return materialise(alike.select("later.doc", "later.place").distinct(), "line-matched")
+
+    # first each line against the first of its tokens; then only what is left against every earlier line
+    line = F.struct("doc", "place")
+    x = shared.alias("x")
+    star = x.where(F.expr("struct(doc, place) <> struct(hub.doc, hub.place)") & may("x", "hub"))
+    gone = matched(star.select(F.expr("struct(hub.doc, hub.place)").alias("earlier"), line.alias("later")))
+    left = shared.join(gone, ["doc", "place"], "left_anti").alias("x")
+    y = shared.alias("y")
+    rest = left.join(y, F.expr("x.token = y.token and struct(y.doc, y.place) < struct(x.doc, x.place) and struct(y.doc, y.place) <> struct(x.hub.doc, x.hub.place)") & may("x", "y"))
+    gone = gone.unionByName(matched(rest.select(F.expr("struct(y.doc, y.place)").alias("earlier"), F.expr("struct(x.doc, x.place)").alias("later"))))
+
+    kept = sets.join(gone, ["doc", "place"], "left_anti").groupBy("doc").agg(F.collect_set("place").alias("kept"))
     out = [c for c in docs.columns if c != count_col]
     rows = docs.select(*out)
     kept = kept.select(F.col("doc").alias("__doc"), F.col("kept").alias("__kept"))
