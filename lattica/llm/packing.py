@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -195,6 +196,12 @@ def pack(docs: DataFrame, encoder: Callable[[], Callable], capacity: int = 2048,
     return source.mapInArrow(run, SCHEMA)
 
 
+@lru_cache(maxsize=1)
+def _tokenizer(path: str, end: int) -> WordTokenizer:
+    """One for each worker process, so that its words last from task to task."""
+    return WordTokenizer(path, end)
+
+
 def word_bpe(path: str, end: int = 1) -> Callable[[], WordTokenizer]:
     """An encoder for ``pack``: the tokenizer file at ``path``, which every worker can read, and the end id."""
-    return lambda: WordTokenizer(path, end)
+    return lambda: _tokenizer(path, end)
