@@ -32,6 +32,14 @@ def op1_pii(spark, sf_dir):
     return replace_pii(docs, PII_KEY, count_col="n_replaced")
 
 
+def op2_segmentation(spark, sf_dir):
+    import public_tokenizers
+
+    from .segment import segmentations
+
+    return segmentations(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), n=4)
+
+
 def op3_line_dedup(spark, sf_dir):
     from .line_dedup import line_dedup
 
@@ -79,6 +87,7 @@ def op10_jaccard(spark, sf_dir):
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_segmentation": op2_segmentation,
     "op3_line_dedup": op3_line_dedup,
     "op4_url_filters": op4_url_filters,
     "op5_quality": op5_quality,
