@@ -79,6 +79,12 @@ def op8_ann(spark, sf_dir):
     return permutation_search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op9_media(spark, sf_dir):
+    from .media import image_copies, rendered
+
+    return image_copies(rendered(table(spark, sf_dir, "embeddings"), "vec_id"))
+
+
 def op10_jaccard(spark, sf_dir):
     from .jaccard import similarity_components
 
@@ -94,6 +100,7 @@ QUERIES = {
     "op6_sharding": op6_sharding,
     "op7_packing": op7_packing,
     "op8_ann": op8_ann,
+    "op9_media": op9_media,
     "op10_jaccard": op10_jaccard,
 }
 
