@@ -51,7 +51,7 @@ PATTERN = re.compile(
     r"|(?P<ipv4>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-]))"
-    r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{2,4}(?:[ .-]\d{2,4}){1,3}(?![\w-])|(?<![\w+])\+\d{8,15}(?!\w))"
+    r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|(?:1[ .-])?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}|0\d{1,4}[ /.-]\d{2,4}[ .-]\d{2,4}(?:[ .-]\d{2,4})?)(?![\w-]|\.\d))"
     r"|(?P<secret>(?:(?<== \")|(?<==\")|(?<=: \")|(?<=:\")|(?<== )|(?<==)|(?<=: ))(?:[0-9a-f]{16,}|[0-9A-F]{16,}|(?=[A-Za-z]*\d)(?=\d*[A-Za-z])[A-Za-z0-9_-]{20,}))"
     rf"|(?P<title>(?<!\w)(?:{'|'.join(sorted(map(re.escape, TITLES), key=len, reverse=True))})\.?) (?P<person>{_NAME}(?: {_NAME})?)"
 )
@@ -100,8 +100,11 @@ def find(text: str) -> Iterator[tuple[int, int, str, str]]:
             digits = re.sub(r"\D", "", got)
             if kind == "card" and not luhn(digits):
                 continue
-            if kind == "phone" and not 7 <= len(digits) <= 15:
-                continue
+            if kind == "phone":
+                if not 7 <= len(digits) <= 15:
+                    continue
+                # the trunk 1 of a number of ten digits is a way to write it
+                digits = digits[1:] if len(digits) == 11 and digits[0] == "1" else digits
             yield m.start(), m.end(), kind, digits
         elif kind == "iban":
             yield m.start(), m.end(), kind, got.replace(" ", "")
@@ -186,8 +189,9 @@ def surrogate(kind: str, canonical: str, key: bytes, attempt: int = 0) -> str:
 def render(kind: str, mention: str, canonical: str) -> str:
     """The canonical surrogate in the form of the mention: its punctuation, its capitals, its gender ending."""
     if kind in ("card", "phone", "ssn"):
-        digits = iter(canonical)
-        return "".join(next(digits, "") if c.isdigit() else c for c in mention)
+        # leading digits that the canonical form lacks stay
+        digits = iter([None] * (sum(c.isdigit() for c in mention) - len(canonical)) + list(canonical))
+        return "".join((next(digits, None) or c) if c.isdigit() else c for c in mention)
     if kind == "iban":
         if " " in mention:
             return " ".join(canonical[i : i + 4] for i in range(0, len(canonical), 4))
