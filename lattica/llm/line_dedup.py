@@ -96,28 +96,31 @@ def line_dedup(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_i
         needed = f"({num} * ({x}.n + {y}.n) + {num + den - 1}) div {num + den}"
         return F.expr(f"{x}.n * {den} >= {y}.n * {num} and {y}.n * {den} >= {x}.n * {num} and least({x}.at, {y}.at) + 1 + least({x}.n - {x}.at, {y}.n - {y}.at) - 1 >= {needed}")
 
-    asked = materialise(shared.select("doc", "place").distinct(), "line-asked")
-    ids = asked.select("doc").distinct()
-    few = asked.count() <= BROADCAST_IDS
-    again = lines(source.join(F.broadcast(ids) if few else ids, "doc", "left_semi"))
-    whole = materialise(again.join(asked, ["doc", "place"]).groupBy("doc", "place").agg(F.min("tokens").alias("tokens")), "line-tokens")
-
     def matched(pairs: DataFrame) -> DataFrame:
-        """Of pairs (earlier, later), the later lines whose sets are alike enough."""
+        """Of pairs (earlier, later), the later lines whose sets are alike enough; only lines in pairs are cut into tokens again."""
+        pairs = materialise(pairs.distinct(), "line-pairs")
+        asked = pairs.select(F.explode(F.array("earlier", "later")).alias("line")).distinct().select("line.*")
+        places = materialise(asked.groupBy("doc").agg(F.collect_set("place").alias("places")), "line-asked")
+        size = places.agg(F.coalesce(F.sum(F.size("places")), F.lit(0))).first()[0]
+        wanted = source.join(F.broadcast(places) if size <= BROADCAST_IDS else places, "doc")
+        cut = wanted.select("doc", "places", F.posexplode(F.split("text", "\n")).alias("place", "line")).where(F.array_contains("places", F.col("place")))
+        whole = materialise(tokens(cut.select("doc", "place", "line"), classes), "line-tokens")
         side = lambda s: whole.select(F.struct("doc", "place").alias(s), F.col("tokens").alias(f"{s}_tokens"))
-        both = pairs.distinct().join(side("earlier"), "earlier").join(side("later"), "later")
+        both = pairs.join(side("earlier"), "earlier").join(side("later"), "later")
         common = F.size(F.array_intersect("earlier_tokens", "later_tokens"))
         alike = both.where(common * (num + den) >= (F.size("earlier_tokens") + F.size("later_tokens")) * num)
         return materialise(alike.select("later.doc", "later.place").distinct(), "line-matched")
 
-    # first each line against the first of its tokens; then only what is left against every earlier line
-    line = F.struct("doc", "place")
+    # first each line against the one first line that most of its tokens name; then only what is left against every earlier line
     x = shared.alias("x")
-    star = x.where(F.expr("struct(doc, place) <> struct(hub.doc, hub.place)") & may("x", "hub"))
-    gone = matched(star.select(F.expr("struct(hub.doc, hub.place)").alias("earlier"), line.alias("later")))
-    left = shared.join(gone, ["doc", "place"], "left_anti").alias("x")
+    star = x.where(F.expr("struct(doc, place) <> struct(hub.doc, hub.place)") & may("x", "hub")).groupBy("doc", "place", F.expr("struct(hub.doc, hub.place)").alias("earlier")).agg(F.count("*").alias("votes"))
+    star = star.groupBy("doc", "place").agg(F.max(F.struct("votes", "earlier")).alias("best"))
+    star = materialise(star.select(F.col("best.earlier").alias("earlier"), F.struct("doc", "place").alias("later")), "line-star")
+    gone = matched(star)
+    tried = star.select("later.doc", "later.place", F.col("earlier").alias("met"))
+    left = shared.join(gone, ["doc", "place"], "left_anti").join(tried, ["doc", "place"], "left").alias("x")
     y = shared.alias("y")
-    rest = left.join(y, F.expr("x.token = y.token and struct(y.doc, y.place) < struct(x.doc, x.place) and struct(y.doc, y.place) <> struct(x.hub.doc, x.hub.place)") & may("x", "y"))
+    rest = left.join(y, F.expr("x.token = y.token and struct(y.doc, y.place) < struct(x.doc, x.place) and not (struct(y.doc, y.place) <=> x.met)") & may("x", "y"))
     gone = gone.unionByName(matched(rest.select(F.expr("struct(y.doc, y.place)").alias("earlier"), F.expr("struct(x.doc, x.place)").alias("later"))))
 
     kept = sets.join(gone, ["doc", "place"], "left_anti").groupBy("doc").agg(F.collect_set("place").alias("kept"))
