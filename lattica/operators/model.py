@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from .ranking import competition_rank
 
 
 def robust_scale(df: DataFrame, value: str, train: Column, low: float = 0.01, high: float = 0.99, name: str = "scaled") -> DataFrame:
@@ -76,10 +77,8 @@ def percentile_gap(df: DataFrame, a: str, b: str) -> DataFrame:
     both = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
     n = both.count()
     for c in (a, b):
-        values = both.groupBy(c).agg(F.count("*").alias("__n"))
-        below = F.coalesce(F.sum("__n").over(Window.orderBy(c).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        ranks = values.select(F.col(c).alias("__v"), (below / max(n - 1, 1)).alias(f"{c}_rank"))
-        both = both.join(ranks, both[c] == F.col("__v")).drop("__v")
+        both = competition_rank(both, c, descending=False, name="__rank")
+        both = both.withColumn(f"{c}_rank", (F.col("__rank") - 1) / max(n - 1, 1)).drop("__rank")
     return both.withColumn("gap", F.col(f"{a}_rank") - F.col(f"{b}_rank"))
 
 

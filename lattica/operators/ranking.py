@@ -10,6 +10,28 @@ from pyspark.sql import functions as F
 from ..schema import NUMERIC
 
 
+#: Ranges into which the values of a table that is ranked as a whole are cut.
+RANGES = 64
+
+
+def _counts_before(values: DataFrame, keys: list[str], value: str, descending: bool) -> DataFrame:
+    """``values`` (keys, value, __n) with ``__before``: the sum of __n of the values that come earlier.
+
+    Without keys the values are cut at approximate quantiles; sums of the ranges
+    (at most ``RANGES`` + 1 rows) and sums inside a range add up, so that no task orders all values.
+    """
+    order = F.col(value).desc() if descending else F.col(value).asc()
+    earlier = lambda *by: Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    if keys:
+        return values.withColumn("__before", F.coalesce(F.sum("__n").over(earlier(*keys)), F.lit(0)))
+    cuts = values.agg(F.percentile_approx(value, F.array(*[F.lit(i / RANGES) for i in range(1, RANGES)]), F.lit(10_000)).alias("c"))
+    held = values.select("*", cuts.scalar().alias("__cuts")).withColumn("__range", F.size(F.filter("__cuts", lambda q: q < F.col(value)))).drop("__cuts")
+    over = Window.orderBy(F.col("__range").desc() if descending else F.col("__range").asc()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = held.groupBy("__range").agg(F.sum("__n").alias("__all")).select("__range", F.coalesce(F.sum("__all").over(over), F.lit(0)).alias("__offset"))
+    held = held.join(F.broadcast(offsets), "__range")
+    return held.withColumn("__before", F.col("__offset") + F.coalesce(F.sum("__n").over(earlier("__range")), F.lit(0))).drop("__range", "__offset")
+
+
 def competition_rank(df: DataFrame, value: str, descending: bool = True, by: Sequence[str] = (), name: str = "rank") -> DataFrame:
     """1, 1, 3 in the chosen direction; a null value has no rank.
 
@@ -18,11 +40,9 @@ def competition_rank(df: DataFrame, value: str, descending: bool = True, by: Seq
     """
     keys = list(by)
     values = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"))
-    order = F.col(value).desc() if descending else F.col(value).asc()
-    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = values.select(*keys, value, (F.coalesce(F.sum("__n").over(before), F.lit(0)) + 1).cast("int").alias(name))
-    renamed = [k for k in (*keys, value)]
-    right = ranks.select(*[F.col(k).alias(f"__{k}") for k in renamed], name)
+    ranks = _counts_before(values, keys, value, descending)
+    renamed = [*keys, value]
+    right = ranks.select(*[F.col(k).alias(f"__{k}") for k in renamed], (F.col("__before") + 1).cast("int").alias(name))
     match = F.lit(True)
     for k in keys:
         match = match & df[k].eqNullSafe(F.col(f"__{k}"))
@@ -30,6 +50,14 @@ def competition_rank(df: DataFrame, value: str, descending: bool = True, by: Seq
     return df.join(right, match, "left").select(*[df[c] for c in df.columns], name)
 
 
+def places(df: DataFrame, value: str, tie: str, descending: bool = True, name: str = "place") -> DataFrame:
+    """Place of each row in the order by value, the unavailable last in both directions, ties by ``tie`` (unique)."""
+    ranked = competition_rank(df, value, descending, name="__rank")
+    there = df.where(F.col(value).isNotNull()).agg(F.count("*").alias("n")).scalar()
+    inside = F.row_number().over(Window.partitionBy(value).orderBy(tie))
+    return ranked.withColumn(name, (F.coalesce(F.col("__rank") - 1, there) + inside).cast("int")).drop("__rank")
+
+
 def nulls_last(value: str, descending: bool, *ties: str) -> list[Column]:
     """Sort order: nulls at the end in both directions, then the source's own order."""
     return [F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last(), *map(F.col, ties)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import tokens
-from ..operators import constraints, evaluate, explorer, identity, model, ranking
+from ..operators import constraints, evaluate, explorer, model, ranking
 from ..streaming import events as stream
 from .carriers import query, read, status_sql, token, token_sql, value_sql
 
@@ -63,12 +63,8 @@ def _sup(spark, d):
 
 
 def _placed(df, descending):
-    """Place of every row in the sorted list, the unavailable last."""
-    ranked = ranking.competition_rank(df, "value", descending)
-    ordered = identity.first_by(ranked, ["s_suppkey"], F.col("s_suppkey"))
-    from pyspark.sql import Window
-
-    return ordered.withColumn("place", F.row_number().over(Window.orderBy(*ranking.nulls_last("value", descending, "s_suppkey"))))
+    """Rank and place of every row, the unavailable last."""
+    return ranking.places(ranking.competition_rank(df, "value", descending), "value", "s_suppkey", descending)
 
 
 @query(f"WITH {_SUP} SELECT s_suppkey, value, CASE WHEN value IS NOT NULL THEN CAST(rank() OVER (ORDER BY value DESC NULLS LAST) AS INTEGER) END AS rank, CAST(row_number() OVER (ORDER BY value DESC NULLS LAST, s_suppkey) AS INTEGER) AS place FROM sup")
