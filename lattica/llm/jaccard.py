@@ -39,8 +39,13 @@ class Bands:
     link with a set of the next band, in that one too.
     """
 
-    def __init__(self, num: int, den: int, widen: int = 4):
-        self.num, self.den, self.widen = num, den, widen
+    #: Elements that a block of the smallest set of a band should hold on average, at least, so that few blocks are empty.
+    FILLED = 3.4
+
+    def __init__(self, num: int, den: int):
+        self.num, self.den = num, den
+        ratio, most = num / den, (den + num) / (2 * (den - num)) if den > num else 1e9
+        self.widen = int(np.clip(np.floor(np.log(self.FILLED / most) / np.log(ratio)), 1, 4)) if ratio < 1 else 1
         self.upper = np.zeros(1, np.int64)
 
     def _grow(self, size: int) -> None:
@@ -61,7 +66,14 @@ class Bands:
     def blocks(self, band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Blocks of each band, and how many of them may be empty; no blocks where only equal sets link."""
         differ = 2 * self.upper[band] * (self.den - self.num) // (self.den + self.num)
-        spare = 1 + differ // 50
+        low = self.upper[np.maximum(band - 1, 0)] + 1
+        spare = np.ones(len(band))
+        for _ in range(3):
+            # empty blocks of the band's smallest sets, with four deviations to spare
+            n = differ + 1 + spare
+            empty = n * np.exp(-low / n)
+            spare = np.ceil(1 + empty + 4 * np.sqrt(empty))
+        spare = spare.astype(np.int64)
         return np.where(differ > 0, differ + 1 + spare, 0), spare
 
 
@@ -162,7 +174,10 @@ def similarity_components(docs: DataFrame, num: int = 90, den: int = 100, words:
     nodes = materialise(rows.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("node")), "jaccard-nodes")
 
     # tiles with at least two nodes; of tiles with the same members one is enough
-    posts = rows.join(nodes, (rows["set_key"] == nodes["set_key"]) & (rows["doc_id"] == nodes["node"]), "left_semi").select(F.col("doc_id").alias("node"), F.explode("tiles").alias("tile"))
+    others = rows.select("doc_id", "set_key").join(nodes, "set_key").where("doc_id <> node").select("doc_id", "set_key")
+    others = materialise(others, "jaccard-others")
+    chosen = rows.where("set_key is not null and doc_id is not null").join(F.broadcast(others) if others.count() <= BROADCAST_IDS else others, ["doc_id", "set_key"], "left_anti")
+    posts = chosen.select(F.col("doc_id").alias("node"), F.explode("tiles").alias("tile"))
     in_tile = Window.partitionBy("tile")
     posts = posts.withColumn("hub", F.min("node").over(in_tile)).withColumn("last", F.max("node").over(in_tile))
     shared = materialise(posts.where("hub <> last").select("tile", "hub", "node").distinct(), "jaccard-shared")
