@@ -205,17 +205,20 @@ def similarity_components(docs: DataFrame, num: int = 90, den: int = 100, words:
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs that link: the bound by minima first, then the sets."""
         pairs = materialise(pairs.distinct(), "jaccard-pairs")
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        if ids.count() <= BROADCAST_IDS:
-            ids = F.broadcast(ids)
-        named = details.join(ids, "node", "left_semi")
-        side = lambda name: named.select(*[F.col(c).alias(name if c == "node" else f"{c}_{name}") for c in ("node", "point", "shingles")])
-        both = pairs.join(side("a"), "a").join(side("b"), "b")
-        minima = F.aggregate(F.zip_with("point_a", "point_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-        sizes = (F.size("shingles_a") + F.size("shingles_b")) * num
+
+        def joined(pairs: DataFrame, column: str) -> DataFrame:
+            ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+            ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+            named = details.select("node", column).join(ids, "node", "left_semi")
+            side = lambda name: named.select(F.col("node").alias(name), F.col(column).alias(f"{column}_{name}"))
+            return pairs.join(side("a"), "a").join(side("b"), "b")
+
+        total = lambda c: F.aggregate(c, F.lit(0), lambda s, x: s + x)
+        minima = total(F.zip_with("point_a", "point_b", lambda x, y: F.least(x, y)))
+        alive = joined(pairs, "point").where(minima * (num + den) >= (total("point_a") + total("point_b")) * num).select("a", "b")
+        both = joined(materialise(alive, "jaccard-alive"), "shingles")
         shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
-        alive = F.when(minima * (num + den) >= sizes, shared * (num + den) >= sizes).otherwise(F.lit(False))
-        return materialise(both.where(alive).select("a", "b"), "jaccard-links")
+        return materialise(both.where(shared * (num + den) >= (F.size("shingles_a") + F.size("shingles_b")) * num).select("a", "b"), "jaccard-links")
 
     def unresolved(labels: DataFrame) -> DataFrame:
         """Members, with their labels, of tiles of three and more that still hold several labels."""
