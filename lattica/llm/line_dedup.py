@@ -1,9 +1,9 @@
 """Near-duplicate lines by an exact set-similarity join, in DataFrame functions only.
 
-A line's tokens are its shingles of five words.  They are ordered by rarity, so
-that a short prefix of the rarest decides which lines can be alike at all;
-prefix, position and length filters leave few pairs, which are verified by their
-Jaccard similarity.  A line that an earlier line matches is removed.
+A line's tokens are its words.  They are ordered by rarity, so that a short
+prefix of the rarest decides which lines can be alike at all; prefix, position,
+length and parity filters leave few pairs, which are verified by their Jaccard
+similarity.  A line that an earlier line matches is removed.
 """
 
 from __future__ import annotations
@@ -15,11 +15,18 @@ from .common import materialise
 
 #: Tokens are counted for their rarity by so many bits of their hash (a table of fixed size); most document ids that are broadcast.
 BUCKET_BITS, BROADCAST_IDS = 16, 500_000
+#: Words stand between white space, whatever its kind (that of Python's ``str.split``).
+SPACE = r"\s\x1c-\x1f\x85\p{Z}"
+
+
+def words(text: str | Column) -> Column:
+    """The words of a text; an empty one stands where white space begins or ends it."""
+    return F.split(text, f"[{SPACE}]+")
 
 
 def rarity(docs: DataFrame, text_col: str) -> DataFrame:
     """One row: an array with the logarithmic frequency class of every token bucket, over all texts, as the six top bits of a long."""
-    token = F.explode(F.split(F.replace(F.col(text_col), F.lit("\n"), F.lit(" ")), " "))
+    token = F.explode(words(text_col))
     bucket = F.shiftrightunsigned(F.xxhash64("t"), 64 - BUCKET_BITS).cast("int").alias("bucket")
     counts = docs.select(token.alias("t")).groupBy(bucket).agg(F.count("*").alias("n"))
     every = docs.sparkSession.range(1 << BUCKET_BITS).select(F.col("id").cast("int").alias("bucket"))
@@ -27,31 +34,15 @@ def rarity(docs: DataFrame, text_col: str) -> DataFrame:
     return classes.agg(F.transform(F.sort_array(F.collect_list(F.struct("bucket", "c"))), lambda x: x["c"]).alias("classes"))
 
 
-#: The upper half of a number holds the frequency class and a part of the rarest word, the lower half a hash.
-UPPER, LOWER = -(1 << 32), (1 << 32) - 1
-
-
 def tokens(lines: DataFrame, classes: DataFrame) -> DataFrame:
-    """``lines`` (doc, place, line) with ``tokens``: the distinct five-word shingles as numbers, those with the rarest words first.
+    """``lines`` (doc, place, line) with ``tokens``: the distinct words as numbers, the rarest first.
 
-    A word's number is its frequency class and 58 bits of its hash.  Numbers are
-    joined two by two: the smaller one's upper half, a hash of both as the lower.
-    Each step is a projection of its own, so that none is computed twice.
+    A word's number is its frequency class and 58 bits of its hash.
     """
-
-    def joined(of: str, by: int):
-        both = lambda x, y: F.least(x, y).bitwiseAND(F.lit(UPPER)).bitwiseOR(F.xxhash64(x, y).bitwiseAND(F.lit(LOWER)))
-        return F.zip_with(of, F.slice("words", by + 1, F.size("words")) if of == "four" else F.slice(of, by + 1, F.size("words")), both)
-
     number = lambda h: F.get("classes", F.shiftrightunsigned(h, 64 - BUCKET_BITS).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 6))
-    hashes = F.transform(F.array_remove(F.split("line", " "), ""), lambda w: F.xxhash64(w))
+    hashes = F.transform(F.array_remove(words("line"), ""), lambda w: F.xxhash64(w))
     held = lines.select("doc", "place", "line", classes.select("classes").scalar().alias("classes"))
-    held = held.select("doc", "place", F.transform(hashes, number).alias("words"))
-    held = held.select("doc", "place", "words", joined("words", 1).alias("two"))
-    held = held.select("doc", "place", "words", joined("two", 2).alias("four"))
-    held = held.select("doc", "place", "words", joined("four", 4).alias("five"))
-    n = F.greatest(F.size("words") - 4, F.lit(0))
-    made = held.select("doc", "place", F.sort_array(F.array_distinct(F.slice("five", F.lit(1), n))).alias("made"))
+    made = held.select("doc", "place", F.sort_array(F.array_distinct(F.transform(hashes, number))).alias("made"))
     # explode keeps a filter on the tokens from computing them a second time
     return made.select("doc", "place", F.explode(F.array("made")).alias("tokens"))
 
@@ -62,39 +53,40 @@ def _least_overlap(n: Column, num: int, den: int) -> Column:
 
 
 def line_dedup(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None) -> DataFrame:
-    """``docs`` without the lines that an earlier line matches (Jaccard of five-word shingles >= num/den).
-
-    Lines end at line feeds, words stand between spaces, order is that of (id,
-    place in the text).  A line is removed if any earlier line matches, also one
-    that is removed itself.  Lines of fewer than five words, blank ones among
-    them, stay.  ``count_col``: if given, a column with the number of removed
-    lines.  Null texts stay null; a text all of whose lines go becomes empty.
-    Rows that repeat an id are one document, rows without an id keep their
-    text.  No rows in: no rows out.  All columns stay, but one already called
-    ``count_col`` is replaced.
+    """``docs`` without the lines that an earlier line matches (Jaccard of their sets of words >= num/den).
+
+    Lines end at line feeds, words stand between white space, order is that of
+    (id, place in the text).  A line is removed if any earlier line matches,
+    also one that is removed itself.  Lines without a word stay.  ``count_col``:
+    if given, a column with the number of removed lines.  Null texts stay null;
+    a text all of whose lines go becomes empty.  Rows that repeat an id are one
+    document, rows without an id keep their text.  No rows in: no rows out.
+    All columns stay, but one already called ``count_col`` is replaced.
     """
     source = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).where("doc is not null and text is not null")
     classes = materialise(rarity(source, "text"), "line-rarity")
 
     def lines(of: DataFrame) -> DataFrame:
-        cut = of.select("doc", F.posexplode(F.split("text", "\n")).alias("place", "line")).where(F.length("line") >= 9)
+        cut = of.select("doc", F.posexplode(F.split("text", "\n")).alias("place", "line"))
         return tokens(cut, classes).where(F.size("tokens") > 0)
 
     # one line for each token set, the first, with its prefix; partial aggregation takes copies where they lie
     n = F.size("tokens")
     prefix = F.transform(F.slice("tokens", F.lit(1), n - _least_overlap(n, num, den) + 1), lambda t: F.hash(t))
-    described = lines(source).select(F.xxhash64("tokens").alias("set"), F.struct("doc", "place", n.alias("n"), prefix.alias("prefix")).alias("first"))
+    # parity of the tokens at each of 64 places: sets differ in no fewer tokens than their parities in bits
+    parity = F.aggregate("tokens", F.lit(0).cast("long"), lambda acc, t: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))))
+    described = lines(source).select(F.xxhash64("tokens").alias("set"), F.struct("doc", "place", n.alias("n"), parity.alias("parity"), prefix.alias("prefix")).alias("first"))
     sets = materialise(described.groupBy("set").agg(F.min("first").alias("first")).select("first.*"), "line-sets")
 
     # posts of tokens that several lines have in their prefixes, each with the token's first line
-    posts = sets.select("doc", "place", "n", F.posexplode("prefix").alias("at", "token")).repartition("token")
-    firsts = posts.groupBy("token").agg(F.count("*").alias("lines"), F.min(F.struct("doc", "place", "n", "at")).alias("hub")).where("lines > 1")
+    posts = sets.select("doc", "place", "n", "parity", F.posexplode("prefix").alias("at", "token")).repartition("token")
+    firsts = posts.groupBy("token").agg(F.count("*").alias("lines"), F.min(F.struct("doc", "place", "n", "parity", "at")).alias("hub")).where("lines > 1")
     shared = materialise(posts.join(firsts.select("token", "hub"), "token"), "line-posts")
 
-    # length and position filters: the most that two lines can have in common, given the places of one common token
+    # length, position and parity filters: the most that two lines can have in common, given the places of their first common token
     def may(x: str, y: str) -> Column:
         needed = f"({num} * ({x}.n + {y}.n) + {num + den - 1}) div {num + den}"
-        return F.expr(f"{x}.n * {den} >= {y}.n * {num} and {y}.n * {den} >= {x}.n * {num} and least({x}.at, {y}.at) + 1 + least({x}.n - {x}.at, {y}.n - {y}.at) - 1 >= {needed}")
+        return F.expr(f"{x}.n * {den} >= {y}.n * {num} and {y}.n * {den} >= {x}.n * {num} and least({x}.n - {x}.at, {y}.n - {y}.at) >= {needed} and {x}.n + {y}.n - bit_count({x}.parity ^ {y}.parity) >= 2 * ({needed})")
 
     def matched(pairs: DataFrame) -> DataFrame:
         """Of pairs (earlier, later), the later lines whose sets are alike enough; only lines in pairs are cut into tokens again."""
@@ -128,8 +120,7 @@ def line_dedup(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_i
     rows = docs.select(*out)
     kept = kept.select(F.col("doc").alias("__doc"), F.col("kept").alias("__kept"))
     joined = rows.join(kept, rows[id_col] == F.col("__doc"), "left").select(*[rows[c] for c in out], "__kept")
-    short = lambda line: (F.length(line) < 9) | (F.size(F.array_remove(F.split(line, " "), "")) < 5)
-    stays = lambda line, i: F.coalesce(F.array_contains("__kept", i), F.lit(False)) | short(line)
+    stays = lambda line, i: F.coalesce(F.array_contains("__kept", i), F.lit(False)) | ~F.rlike(line, F.lit(f"[^{SPACE}]"))
     cut = F.split(F.col(text_col), "\n")
     joined = joined.withColumn("__lines", F.when(F.col(id_col).isNull(), cut).otherwise(F.filter(cut, stays)))
     text = F.array_join("__lines", "\n").alias(text_col)
