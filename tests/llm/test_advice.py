@@ -2,7 +2,9 @@
 
 import collections
 
-from lattica.llm import line_dedup
+import numpy as np
+
+from lattica.llm import line_dedup, media
 
 
 def removed_lines(rows):
@@ -35,3 +37,28 @@ def test_line_dedup_by_words(spark, sf):
         got = line_dedup.line_dedup(spark.createDataFrame(table, "doc_id long, text string"), count_col="n").collect()
         assert {r["doc_id"]: (r["text"], r["n"]) for r in got} == deduplicated(table, gone)
     assert removed_lines(rows) == {(2, 0), (3, 0), (5, 0), (5, 1), (7, 0)}
+
+
+def test_media_links_noisy_and_resampled_copies(spark):
+    """Copies with noise, blur, fewer grey levels and fewer pixels: of 20 each, nearly all that their descriptors allow."""
+    rng = np.random.default_rng(1)
+    at = np.clip(np.rint(np.arange(64) / 0.9), 0, 71).astype(int)
+    edits = [lambda p: p + rng.normal(0, 3, p.shape), lambda p: media._box(p, 1), lambda p: np.rint(p / 16) * 16, lambda p: p[at][:, at]]
+    rows = []
+    for i in range(20):
+        picture = media.render(i * 8)
+        rows += [(i * 8 + k, bytearray(media.encode_pgm(q))) for k, q in enumerate([picture, *(e(picture) for e in edits)])]
+    groups = {r["image_id"]: r["group_id"] for r in media.image_copies(spark.createDataFrame(rows, "image_id long, image binary")).collect()}
+    linked = collections.Counter(i % 8 for i, g in groups.items() if g == i - i % 8)
+    assert all(linked[k] >= 17 for k in range(1, 5)), linked
+    assert all(g // 8 == i // 8 for i, g in groups.items())
+
+
+def test_media_words_reach_nine_bits():
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        one = rng.integers(0, 2, media.BITS, dtype=np.uint8)
+        two = one.copy()
+        two[rng.choice(media.BITS, 9, False)] ^= 1
+        x, y = (media.words_of(np.packbits(d).tobytes()) for d in (one, two))
+        assert (x == y).any() and len(set(x)) == media.WORDS
