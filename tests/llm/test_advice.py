@@ -1,6 +1,7 @@
 """What a review found missing: each test fails without its change."""
 
 import collections
+import pickle
 
 import numpy as np
 
@@ -62,3 +63,14 @@ def test_media_words_reach_nine_bits():
         two[rng.choice(media.BITS, 9, False)] ^= 1
         x, y = (media.words_of(np.packbits(d).tobytes()) for d in (one, two))
         assert (x == y).any() and len(set(x)) == media.WORDS
+
+
+def test_media_counts_matches_over_all_words(spark, monkeypatch):
+    """Images 1 and 2 have eight equal corners, image 0 four of them: four matches in the words of image 0, four in the rest."""
+    monkeypatch.setattr(media, "describe", pickle.loads)
+    rng = np.random.default_rng(3)
+    corners = [(10 + 5 * i, 20 + 3 * i * i, 1, 0, rng.bytes(32)) for i in range(8)]
+    other = [(5, 5 + i, 1, 0, rng.bytes(32)) for i in range(2)]
+    rows = [(i, bytearray(pickle.dumps(c))) for i, c in enumerate([corners[:4], corners + other[:1], corners + other[1:]])]
+    got = media.image_copies(spark.createDataFrame(rows, "image_id long, image binary"), decoder=lambda data: data).collect()
+    assert {r["image_id"]: (r["corners"], r["group_id"]) for r in got} == {0: (4, 0), 1: (9, 1), 2: (9, 1)}
