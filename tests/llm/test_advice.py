@@ -74,3 +74,17 @@ def test_media_counts_matches_over_all_words(spark, monkeypatch):
     rows = [(i, bytearray(pickle.dumps(c))) for i, c in enumerate([corners[:4], corners + other[:1], corners + other[1:]])]
     got = media.image_copies(spark.createDataFrame(rows, "image_id long, image binary"), decoder=lambda data: data).collect()
     assert {r["image_id"]: (r["corners"], r["group_id"]) for r in got} == {0: (4, 0), 1: (9, 1), 2: (9, 1)}
+
+
+def test_media_of_large_pictures(spark):
+    """A part of a large picture is linked to it; a picture over the pixels decoded at once has corners, the same in rows as whole."""
+    large = np.block([[media.render(8 * (9 * i + j)) for j in range(9)] for i in range(9)])
+    huge = np.full((4100, 4100), 90.0)
+    huge[2000 : 2000 + 648, 3000 : 3000 + 648] = large
+    assert huge.size > media.MOST_PIXELS
+    pictures = [large, large[213:353, 405:555], huge, media.render(5000)]
+    rows = [(i, bytearray(media.encode_pgm(p))) for i, p in enumerate(pictures)]
+    by = {r["image_id"]: r for r in media.image_copies(spark.createDataFrame(rows, "image_id long, image binary")).collect()}
+    assert [by[i]["group_id"] for i in range(4)] == [0, 0, 0, 3] and by[0]["corners"] > 500 and by[2]["corners"] > 500
+    pixels = large.astype(np.float32)
+    assert media.describe(media.Rows(pixels.shape, lambda a, b: pixels[a:b])) == media.describe(pixels)
