@@ -177,10 +177,8 @@ def surrogate(kind: str, canonical: str, key: bytes, attempt: int = 0) -> str:
     written = script(canonical)
     if kind == "given":
         names = GIVEN[written, gender] if gender in "mf" else GIVEN[written, "m"] + GIVEN[written, "f"]
-        # beyond the list's first attempts, two names joined: the domain never runs dry
-        if attempt == 0:
-            return names[s.below(len(names))].casefold()
-        return f"{names[s.below(len(names))]}-{names[s.below(len(names))]}".casefold()
+        # after the first attempt two names joined, and one more every two attempts: the domain never runs dry
+        return "-".join(names[s.below(len(names))] for _ in range((attempt + 3) // 2)).casefold()
     parts = SYLLABLES[written]
     name = "".join(parts[s.below(len(parts))] for _ in range(3 + attempt // 4))
     return name + ("ов" if written == "cyrillic" else "")

@@ -5,7 +5,7 @@ import pickle
 
 import numpy as np
 
-from lattica.llm import line_dedup, media
+from lattica.llm import line_dedup, media, pii
 
 
 def removed_lines(rows):
@@ -88,3 +88,13 @@ def test_media_of_large_pictures(spark):
     assert [by[i]["group_id"] for i in range(4)] == [0, 0, 0, 3] and by[0]["corners"] > 500 and by[2]["corners"] > 500
     pixels = large.astype(np.float32)
     assert media.describe(media.Rows(pixels.shape, lambda a, b: pixels[a:b])) == media.describe(pixels)
+
+
+def test_pii_settles_many_given_names(spark):
+    """Far more given names of each script than single or paired names of the lists."""
+    letters = {"latin": "bdfg", "cyrillic": "бдфг", "greek": "βδφγ"}
+    names = [c + "".join(letters[k][i // 4**j % 4] for j in range(8)) for k, c in (("latin", "a"), ("cyrillic", "а"), ("greek", "α")) for i in range(20_000)]
+    found = spark.createDataFrame([("given-m", n) for n in names], "pool string, canonical string")
+    rows = pii.settle(found, b"k").collect()
+    assert len({r["canonical"] for r in rows}) == len({r["made"] for r in rows}) == len(rows) == 60_000
+    assert all(pii.surrogate(r["pool"], r["canonical"], b"k", r["attempt"]) == r["made"] and pii.script(r["made"]) == pii.script(r["canonical"]) for r in rows)
