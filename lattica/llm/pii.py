@@ -208,24 +208,29 @@ def _pool(kind: str) -> str:
     return kind.split("-")[0] if kind.startswith("surname") else kind
 
 
-def entities(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, pool, canonical: one row for each document and entity."""
+def _text_key(text_col: str):
+    """What texts and their entities are joined by; texts that share it share the union of their entities, which is harmless."""
+    return F.xxhash64(F.col(text_col).cast("string"))
+
+
+def entities(docs: DataFrame, text_col: str) -> DataFrame:
+    """text_key, pool, canonical: one row for each text and entity."""
     arrow_rows(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
             found = pc.fill_null(pc.match_substring_regex(batch.column(1), MAYBE), False)
             rows = batch.filter(found)
-            ids, pools, names = [], [], []
-            for doc_id, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
+            keys, pools, names = [], [], []
+            for text_key, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
                 for pool, name in dict.fromkeys((_pool(kind), canonical) for _, _, kind, canonical in find(text)):
-                    ids.append(doc_id)
+                    keys.append(text_key)
                     pools.append(pool)
                     names.append(name)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(pools, pa.string()), pa.array(names, pa.string())], ["doc_id", "pool", "canonical"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(pools, pa.string()), pa.array(names, pa.string())], ["text_key", "pool", "canonical"])
 
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, "doc_id long, pool string, canonical string")
+    source = docs.select(_text_key(text_col).alias("text_key"), F.col(text_col).cast("string").alias("text"))
+    return source.mapInArrow(run, "text_key long, pool string, canonical string")
 
 
 def settle(found: DataFrame, key: bytes) -> DataFrame:
@@ -271,9 +276,10 @@ def replace_pii(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: s
     column that is already called ``count_col`` is replaced.
 
     Texts are not shuffled while the entities that needed another attempt are
-    at most ``BROADCAST_OVERRIDES``; beyond it they are joined to the documents.
+    at most ``BROADCAST_OVERRIDES``; beyond it they are joined to the documents
+    by a hash of the text, so ``id_col`` plays no part.
     """
-    found = materialise(entities(docs, id_col, text_col), "pii-found")
+    found = materialise(entities(docs, text_col), "pii-found")
     settled = settle(materialise(found.select("pool", "canonical").distinct(), "pii-entities"), key)
     over = settled.where(F.col("attempt") > 0).select("pool", "canonical", "attempt")
     columns = [c for c in docs.columns if c != count_col]
@@ -317,6 +323,6 @@ def replace_pii(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: s
     rows = over.limit(BROADCAST_OVERRIDES + 1).collect()
     if len(rows) <= BROADCAST_OVERRIDES:
         return source.mapInArrow(rewrite({(r["pool"], r["canonical"]): r["attempt"] for r in rows}), schema)
-    per_doc = found.join(over, ["pool", "canonical"]).groupBy("doc_id").agg(F.collect_set(F.struct("pool", "canonical", "attempt")).alias("__own"))
-    joined = source.join(per_doc.withColumnRenamed("doc_id", "__id"), source[id_col].cast("long") == F.col("__id"), "left").select(*[source[c] for c in columns], "__own")
+    per_text = found.join(over, ["pool", "canonical"]).groupBy(F.col("text_key").alias("__key")).agg(F.collect_set(F.struct("pool", "canonical", "attempt")).alias("__own"))
+    joined = source.join(per_text, _text_key(text_col) == F.col("__key"), "left").select(*[source[c] for c in columns], "__own")
     return joined.mapInArrow(rewrite(None), schema)

@@ -98,3 +98,16 @@ def test_pii_settles_many_given_names(spark):
     rows = pii.settle(found, b"k").collect()
     assert len({r["canonical"] for r in rows}) == len({r["made"] for r in rows}) == len(rows) == 60_000
     assert all(pii.surrogate(r["pool"], r["canonical"], b"k", r["attempt"]) == r["made"] and pii.script(r["made"]) == pii.script(r["canonical"]) for r in rows)
+
+
+def test_pii_collisions_in_rows_without_an_id(spark, monkeypatch):
+    """Overrides reach rows whose id is null or repeats, broadcast or joined."""
+    whole = pii.surrogate
+    monkeypatch.setattr(pii, "surrogate", lambda kind, c, key, attempt=0: "same@x.example.com" if attempt == 0 else whole(kind, c, key, attempt))
+    rows = [(None if i % 3 else 1, f"to u{i}@x.example.com and u{i + 1}@x.example.com") for i in range(12)] + [(None, "to u1@x.example.com"), (2, "to u1@x.example.com"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(str, pii.replace_pii(docs, b"k").collect()))
+    monkeypatch.setattr(pii, "BROADCAST_OVERRIDES", -1)
+    got = pii.replace_pii(docs, b"k").collect()
+    assert sorted(map(str, got)) == want
+    assert len({w for r in got for w in (r["text"] or "").split() if "@" in w}) == 13
