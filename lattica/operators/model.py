@@ -42,11 +42,12 @@ def buffer_sums(points: DataFrame, stations: DataFrame, station: str, value: str
     return stations.select(station).join(near, station, "left").select(station, *filled)
 
 
-def connected_cells(cells: DataFrame, x: str = "x", y: str = "y", rounds: int = 64) -> DataFrame:
+def connected_cells(cells: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
     """Components of cells that share an edge: each cell with its component's smallest (x, y) as ``component``.
 
-    Labels spread to neighbours and jump along labels until a round changes
-    nothing.  Each round is written to the checkpoint folder.
+    Each round, all cells of one label take the smallest label that any of them
+    meets, and the one that takes in its turn, to the end; until a round changes
+    nothing.  Each step is written to the checkpoint folder.
     """
     spark = cells.sparkSession
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
@@ -59,16 +60,20 @@ def connected_cells(cells: DataFrame, x: str = "x", y: str = "y", rounds: int =
     at = F.struct(F.col(x).cast("long").alias("x"), F.col(y).cast("long").alias("y"))
     lab = cells.select(at.alias("cell"), at.alias("component")).distinct()
     step = F.array(*[F.struct((F.col("cell.x") + dx).alias("x"), (F.col("cell.y") + dy).alias("y")) for dx, dy in ((0, 0), (1, 0), (-1, 0), (0, 1), (0, -1))])
-    for _ in range(rounds):
-        spread = lab.select(F.explode(step).alias("cell"), "component").groupBy("cell").agg(F.min("component").alias("component"))
-        new = lab.select("cell").join(spread, "cell")
-        # jump: a cell takes the label of its label
-        hop = new.select(F.col("cell").alias("component"), F.col("component").alias("further"))
-        new = new.join(hop, "component", "left").select("cell", F.coalesce("further", "component").alias("component")).checkpoint()
-        changed = new.join(lab.withColumnRenamed("component", "before"), "cell").where("component <> before")
-        lab, done = new, changed.isEmpty()
-        if done:
+    while True:
+        spread = lab.select(F.explode(step).alias("cell"), F.col("component").alias("met")).groupBy("cell").agg(F.min("met").alias("met"))
+        hooks = lab.join(spread, "cell").groupBy("component").agg(F.min("met").alias("met")).checkpoint()
+        if hooks.where("component <> met").isEmpty():
             break
+        while True:
+            # jump: a label takes the label of its label
+            hop = hooks.toDF("met", "further")
+            hooks = hooks.join(hop, "met").select("component", F.col("further").alias("met"), (F.col("further") != F.col("met")).alias("moved")).checkpoint()
+            done = hooks.where("moved").isEmpty()
+            hooks = hooks.drop("moved")
+            if done:
+                break
+        lab = lab.join(hooks, "component").select("cell", F.col("met").alias("component")).checkpoint()
     return lab.select(F.col("cell.x").alias(x), F.col("cell.y").alias(y), F.concat_ws(":", "component.x", "component.y").alias("component"))
 
 
