@@ -4,6 +4,12 @@ A line's tokens are its words.  They are ordered by rarity, so that a short
 prefix of the rarest decides which lines can be alike at all; prefix, position,
 length and parity filters leave few pairs, which are verified by their Jaccard
 similarity.  A line that an earlier line matches is removed.
+
+Lines with the same tokens are one set, held by its first line.  Sets meet under
+the tokens of their prefixes.  A token in the prefixes of many sets is taken
+together with a second token of a prefix longer by one: sets that are alike have
+two tokens of those in common.  Under a key each set meets the key's first set;
+only one that this one cannot remove meets all earlier ones.
 """
 
 from __future__ import annotations
@@ -11,10 +17,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import discard, materialise
 
-#: Tokens are counted for their rarity by so many bits of their hash (a table of fixed size); most document ids that are broadcast.
-BUCKET_BITS, BROADCAST_IDS = 16, 500_000
+#: A token's frequency class is looked up by so many bits of its hash, in a table of fixed size (1 MB).
+BUCKET_BITS = 20
+#: Sets under a token beyond which a second token joins it; such tokens that are broadcast, beyond which they are joined by shuffle.
+MANY_SETS, BROADCAST_TOKENS = 1_000, 200_000
+#: Documents and lines in a list that is broadcast, beyond which it is joined by shuffle.
+BROADCAST_IDS, BROADCAST_LINES = 500_000, 4_000_000
 #: Words stand between white space, whatever its kind (that of Python's ``str.split``).
 SPACE = r"\s\x1c-\x1f\x85\p{Z}"
 
@@ -25,24 +35,28 @@ def words(text: str | Column) -> Column:
 
 
 def rarity(docs: DataFrame, text_col: str) -> DataFrame:
-    """One row: an array with the logarithmic frequency class of every token bucket, over all texts, as the six top bits of a long."""
+    """One row: an array with the class of every token bucket, that of its most frequent token over all texts.
+
+    The class is the logarithm of the count, rounded up: 0 is for tokens seen once.
+    """
     token = F.explode(words(text_col))
-    bucket = F.shiftrightunsigned(F.xxhash64("t"), 64 - BUCKET_BITS).cast("int").alias("bucket")
-    counts = docs.select(token.alias("t")).groupBy(bucket).agg(F.count("*").alias("n"))
+    counts = docs.select(token.alias("t")).groupBy(F.xxhash64("t").alias("h")).agg(F.count("*").alias("n"))
+    counts = counts.groupBy(F.shiftrightunsigned("h", 64 - BUCKET_BITS).cast("int").alias("bucket")).agg(F.max("n").alias("n"))
     every = docs.sparkSession.range(1 << BUCKET_BITS).select(F.col("id").cast("int").alias("bucket"))
-    classes = every.join(counts, "bucket", "left").select("bucket", F.shiftleft(F.least(F.floor(F.log2(F.coalesce("n", F.lit(0)) + 1)), F.lit(31)).cast("long"), 58).alias("c"))
+    classes = every.join(counts, "bucket", "left").select("bucket", F.least(F.ceil(F.log2(F.coalesce("n", F.lit(1)))), F.lit(63)).cast("tinyint").alias("c"))
     return classes.agg(F.transform(F.sort_array(F.collect_list(F.struct("bucket", "c"))), lambda x: x["c"]).alias("classes"))
 
 
 def tokens(lines: DataFrame, classes: DataFrame) -> DataFrame:
     """``lines`` (doc, place, line) with ``tokens``: the distinct words as numbers, the rarest first.
 
-    A word's number is its frequency class and 58 bits of its hash.
+    A word's number is its frequency class (its six top bits, the first of them
+    turned so that numbers sort as signed) and 58 bits of its hash.
     """
-    number = lambda h: F.get("classes", F.shiftrightunsigned(h, 64 - BUCKET_BITS).cast("int")).bitwiseOR(F.shiftrightunsigned(h, 6))
-    hashes = F.transform(F.array_remove(words("line"), ""), lambda w: F.xxhash64(w))
+    grade = lambda w: F.get("classes", F.shiftrightunsigned(F.xxhash64(w), 64 - BUCKET_BITS).cast("int")).cast("long")
+    number = lambda w: F.shiftleft(grade(w) - 32, 58).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 6))
     held = lines.select("doc", "place", "line", classes.select("classes").scalar().alias("classes"))
-    made = held.select("doc", "place", F.sort_array(F.array_distinct(F.transform(hashes, number))).alias("made"))
+    made = held.select("doc", "place", F.sort_array(F.array_distinct(F.transform(F.array_remove(words("line"), ""), number))).alias("made"))
     # explode keeps a filter on the tokens from computing them a second time
     return made.select("doc", "place", F.explode(F.array("made")).alias("tokens"))
 
@@ -52,77 +66,122 @@ def _least_overlap(n: Column, num: int, den: int) -> Column:
     return F.call_function("div", n * num + (den - 1), F.lit(den)).cast("int")
 
 
+def _shared(num: int, den: int) -> Column:
+    """(at, token) of the prefix of a set, but for tokens of class 0, which are in one line only."""
+    width = F.col("n") - _least_overlap(F.col("n"), num, den) + 1
+    numbered = F.transform(F.slice("prefix", F.lit(1), width), lambda t, i: F.struct(i.alias("at"), t.alias("token")))
+    return F.filter(numbered, lambda s: s["token"] >= -(31 << 58))
+
+
+def _hot(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Tokens in the prefixes of more than ``MANY_SETS`` sets."""
+    single = sets.select(F.explode(F.transform(_shared(num, den), lambda s: s["token"])).alias("token"))
+    return single.groupBy("token").count().where(F.col("count") > MANY_SETS).select(F.col("token").alias("hot"))
+
+
+def _posts(sets: DataFrame, num: int, den: int, hot: DataFrame) -> DataFrame:
+    """key, doc, place, n, parity, at: every set under each key of its prefix; ``at`` is the place of the key's first token."""
+    posts = sets.select("doc", "place", "n", "parity", "prefix", F.explode(_shared(num, den)).alias("s")).select("doc", "place", "n", "parity", "prefix", "s.at", "s.token")
+    n_hot = hot.count()
+    if not n_hot:
+        return posts.select("doc", "place", "n", "parity", "at", F.col("token").alias("key"))
+    posts = posts.join(F.broadcast(hot) if n_hot <= BROADCAST_TOKENS else hot, F.col("token") == F.col("hot"), "left")
+    pairs = F.transform(F.slice("prefix", F.col("at") + 2, F.size("prefix")), lambda b: F.xxhash64("token", b))
+    return posts.select("doc", "place", "n", "parity", "at", F.explode(F.when(F.col("hot").isNull(), F.array("token")).otherwise(pairs)).alias("key"))
+
+
 def line_dedup(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """``docs`` without the lines that an earlier line matches (Jaccard of their sets of words >= num/den).
 
     Lines end at line feeds, words stand between white space, order is that of
-    (id, place in the text).  A line is removed if any earlier line matches,
-    also one that is removed itself.  Lines without a word stay.  ``count_col``:
-    if given, a column with the number of removed lines.  Null texts stay null;
-    a text all of whose lines go becomes empty.  Rows that repeat an id are one
-    document, rows without an id keep their text.  No rows in: no rows out.
-    All columns stay, but one already called ``count_col`` is replaced.
+    (id, place in the text); rows that repeat an id stand in the order they are
+    read.  A line is removed if any earlier line matches, also one that is
+    removed itself.  Lines without a word stay.  ``count_col``: if given, a
+    column with the number of removed lines.  Null texts stay null; a text all
+    of whose lines go becomes empty; rows without an id keep their text.  No
+    rows in: no rows out.  All columns stay, whatever their names, but one
+    already called ``count_col`` is replaced.
+
+    Words are compared by 64-bit hashes, sets of words by 128 bits.
     """
-    source = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).where("doc is not null and text is not null")
+    out = [c for c in docs.columns if c != count_col]
+    rows = docs.select(F.struct(*out).alias("row"), F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    if not rows.where("doc is not null").groupBy("doc").count().where("count > 1").isEmpty():
+        rows = materialise(rows.withColumn("doc", F.when(F.col("doc").isNotNull(), F.struct("doc", F.monotonically_increasing_id().alias("read")))), "line-rows")
+    source = rows.select("doc", "text").where("doc is not null and text is not null")
     classes = materialise(rarity(source, "text"), "line-rarity")
 
-    def lines(of: DataFrame) -> DataFrame:
-        cut = of.select("doc", F.posexplode(F.split("text", "\n")).alias("place", "line"))
-        return tokens(cut, classes).where(F.size("tokens") > 0)
-
     # one line for each token set, the first, with its prefix; partial aggregation takes copies where they lie
+    cut = source.select("doc", F.posexplode(F.split("text", "\n")).alias("place", "line"))
     n = F.size("tokens")
-    prefix = F.transform(F.slice("tokens", F.lit(1), n - _least_overlap(n, num, den) + 1), lambda t: F.hash(t))
+    prefix = F.slice("tokens", F.lit(1), n - _least_overlap(n, num, den) + 2)
     # parity of the tokens at each of 64 places: sets differ in no fewer tokens than their parities in bits
     parity = F.aggregate("tokens", F.lit(0).cast("long"), lambda acc, t: acc.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int"))))
-    described = lines(source).select(F.xxhash64("tokens").alias("set"), F.struct("doc", "place", n.alias("n"), parity.alias("parity"), prefix.alias("prefix")).alias("first"))
-    sets = materialise(described.groupBy("set").agg(F.min("first").alias("first")).select("first.*"), "line-sets")
-
-    # posts of tokens that several lines have in their prefixes, each with the token's first line
-    posts = sets.select("doc", "place", "n", "parity", F.posexplode("prefix").alias("at", "token")).repartition("token")
-    firsts = posts.groupBy("token").agg(F.count("*").alias("lines"), F.min(F.struct("doc", "place", "n", "parity", "at")).alias("hub")).where("lines > 1")
-    shared = materialise(posts.join(firsts.select("token", "hub"), "token"), "line-posts")
+    described = tokens(cut, classes).where(n > 0).select(F.xxhash64("tokens").alias("set"), F.xxhash64(F.lit(7), "tokens").alias("set2"), F.struct("doc", "place", n.alias("n"), parity.alias("parity"), prefix.alias("prefix")).alias("first"))
+    sets = materialise(described.groupBy("set", "set2").agg(F.min("first").alias("first")).select("first.*"), "line-sets")
 
-    # length, position and parity filters: the most that two lines can have in common, given the places of their first common token
+    # parity, length and position filters: the least by which two sets differ, and the most that they have in common given the places of their first common token
     def may(x: str, y: str) -> Column:
-        needed = f"({num} * ({x}.n + {y}.n) + {num + den - 1}) div {num + den}"
-        return F.expr(f"{x}.n * {den} >= {y}.n * {num} and {y}.n * {den} >= {x}.n * {num} and least({x}.n - {x}.at, {y}.n - {y}.at) >= {needed} and {x}.n + {y}.n - bit_count({x}.parity ^ {y}.parity) >= 2 * ({needed})")
+        return F.expr(
+            f"bit_count({x}.parity ^ {y}.parity) * {num + den} <= ({x}.n + {y}.n) * {den - num} and {x}.n * {den} >= {y}.n * {num} and {y}.n * {den} >= {x}.n * {num} "
+            f"and least({x}.n - {x}.at, {y}.n - {y}.at) * {num + den} >= ({x}.n + {y}.n) * {num}"
+        )
+
+    # sets of fewer tokens than that have no match but themselves
+    least = next(n for n in range(1, 10 * den) if (n + 1) * num <= n * den) if num < den else 1 << 30
+    several = sets.where(F.col("n") >= least)
+    hot = materialise(_hot(several, num, den), "line-hot")
+    posts = _posts(several, num, den, hot).repartition("key")
+
+    def earlier(y: str, x: str) -> Column:
+        return F.expr(f"({y}.doc < {x}.doc or {y}.doc = {x}.doc and {y}.place < {x}.place)")
+
+    def pair() -> list[Column]:
+        return [F.expr("struct(y.doc, y.place)").alias("earlier"), F.expr("struct(x.doc, x.place)").alias("later")]
+
+    # under each key, a set that may match the key's first set meets only that one
+    firsts = posts.groupBy("key").agg(F.count("*").alias("held"), F.min(F.struct("doc", "place", "n", "parity", "at")).alias("hub")).where("held > 1").drop("held")
+    x = posts.alias("p").join(firsts, "key").where(F.expr("struct(p.doc, p.place) <> struct(hub.doc, hub.place)"))
+    x = x.select("key", "doc", "place", "n", "parity", "at", F.when(may("p", "hub"), F.col("hub.doc")).alias("hub_doc"), F.col("hub.place").alias("hub_place")).alias("x")
+    met = x.join(posts.alias("y"), F.expr("x.key = y.key") & may("x", "y") & earlier("y", "x") & F.expr("x.hub_doc is null or (x.hub_doc = y.doc and x.hub_place = y.place)"))
+    pairs = materialise(met.select(*pair()).distinct(), "line-pairs")
 
     def matched(pairs: DataFrame) -> DataFrame:
         """Of pairs (earlier, later), the later lines whose sets are alike enough; only lines in pairs are cut into tokens again."""
-        pairs = materialise(pairs.distinct(), "line-pairs")
-        asked = pairs.select(F.explode(F.array("earlier", "later")).alias("line")).distinct().select("line.*")
+        asked = pairs.select("earlier.*").unionByName(pairs.select("later.*"))
         places = materialise(asked.groupBy("doc").agg(F.collect_set("place").alias("places")), "line-asked")
-        size = places.agg(F.coalesce(F.sum(F.size("places")), F.lit(0))).first()[0]
-        wanted = source.join(F.broadcast(places) if size <= BROADCAST_IDS else places, "doc")
-        cut = wanted.select("doc", "places", F.posexplode(F.split("text", "\n")).alias("place", "line")).where(F.array_contains("places", F.col("place")))
-        whole = materialise(tokens(cut.select("doc", "place", "line"), classes), "line-tokens")
+        size = places.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size("places")), F.lit(0)).alias("lines")).first()
+        wanted = source.join(F.broadcast(places) if size["docs"] <= BROADCAST_IDS and size["lines"] <= BROADCAST_LINES else places, "doc")
+        lines = wanted.select("doc", "places", F.posexplode(F.split("text", "\n")).alias("place", "line")).where(F.array_contains("places", F.col("place")))
+        whole = materialise(tokens(lines.select("doc", "place", "line"), classes), "line-tokens")
         side = lambda s: whole.select(F.struct("doc", "place").alias(s), F.col("tokens").alias(f"{s}_tokens"))
         both = pairs.join(side("earlier"), "earlier").join(side("later"), "later")
         common = F.size(F.array_intersect("earlier_tokens", "later_tokens"))
         alike = both.where(common * (num + den) >= (F.size("earlier_tokens") + F.size("later_tokens")) * num)
-        return materialise(alike.select("later.doc", "later.place").distinct(), "line-matched")
-
-    # first each line against the one first line that most of its tokens name; then only what is left against every earlier line
-    x = shared.alias("x")
-    star = x.where(F.expr("struct(doc, place) <> struct(hub.doc, hub.place)") & may("x", "hub")).groupBy("doc", "place", F.expr("struct(hub.doc, hub.place)").alias("earlier")).agg(F.count("*").alias("votes"))
-    star = star.groupBy("doc", "place").agg(F.max(F.struct("votes", "earlier")).alias("best"))
-    star = materialise(star.select(F.col("best.earlier").alias("earlier"), F.struct("doc", "place").alias("later")), "line-star")
-    gone = matched(star)
-    tried = star.select("later.doc", "later.place", F.col("earlier").alias("met"))
-    left = shared.join(gone, ["doc", "place"], "left_anti").join(tried, ["doc", "place"], "left").alias("x")
-    y = shared.alias("y")
-    rest = left.join(y, F.expr("x.token = y.token and struct(y.doc, y.place) < struct(x.doc, x.place) and not (struct(y.doc, y.place) <=> x.met)") & may("x", "y"))
-    gone = gone.unionByName(matched(rest.select(F.expr("struct(y.doc, y.place)").alias("earlier"), F.expr("struct(x.doc, x.place)").alias("later"))))
-
-    kept = sets.join(gone, ["doc", "place"], "left_anti").groupBy("doc").agg(F.collect_set("place").alias("kept"))
-    out = [c for c in docs.columns if c != count_col]
-    rows = docs.select(*out)
-    kept = kept.select(F.col("doc").alias("__doc"), F.col("kept").alias("__kept"))
-    joined = rows.join(kept, rows[id_col] == F.col("__doc"), "left").select(*[rows[c] for c in out], "__kept")
-    stays = lambda line, i: F.coalesce(F.array_contains("__kept", i), F.lit(False)) | ~F.rlike(line, F.lit(f"[^{SPACE}]"))
-    cut = F.split(F.col(text_col), "\n")
-    joined = joined.withColumn("__lines", F.when(F.col(id_col).isNull(), cut).otherwise(F.filter(cut, stays)))
-    text = F.array_join("__lines", "\n").alias(text_col)
-    counted = [F.coalesce(F.size(cut) - F.size("__lines"), F.lit(0)).cast("long").alias(count_col)] if count_col else []
-    return joined.select(*[text if c == text_col else joined[c] for c in out], *counted)
+        found = materialise(alike.select("later.doc", "later.place").distinct(), "line-matched")
+        discard(places, whole)
+        return found
+
+    gone = matched(pairs)
+    # a line that passed the filters with a first set, but that nothing has removed, meets all earlier lines of its keys
+    again = materialise(pairs.select("later.*").distinct().join(gone, ["doc", "place"], "left_anti"), "line-again")
+    n_again = again.count()
+    if n_again:
+        few = F.broadcast(again) if n_again <= BROADCAST_IDS else again
+        x = materialise(_posts(several.join(few, ["doc", "place"], "left_semi"), num, den, hot), "line-posts")
+        x = F.broadcast(x.alias("x")) if x.count() <= BROADCAST_IDS else x.alias("x")
+        rest = _posts(several, num, den, hot).alias("y").join(x, F.expr("x.key = y.key") & may("x", "y") & earlier("y", "x"))
+        rest = materialise(rest.select(*pair()).distinct().join(pairs, ["earlier", "later"], "left_anti"), "line-pairs")
+        gone = gone.unionByName(matched(rest))
+        discard(rest)
+    discard(pairs, again, hot)
+
+    kept = materialise(sets.join(gone, ["doc", "place"], "left_anti").groupBy("doc").agg(F.collect_set("place").alias("kept")), "line-kept")
+    discard(sets)
+    size = kept.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size("kept")), F.lit(0)).alias("lines")).first()
+    joined = rows.join(F.broadcast(kept) if size["docs"] <= BROADCAST_IDS and size["lines"] <= BROADCAST_LINES else kept, "doc", "left")
+    lines = F.split("text", "\n")
+    stays = lambda line, i: F.coalesce(F.array_contains("kept", i), F.lit(False)) | ~F.rlike(line, F.lit(f"[^{SPACE}]"))
+    joined = joined.select("row", "text", F.when(F.col("doc").isNull(), lines).otherwise(F.filter(lines, stays)).alias("left"))
+    counted = [F.coalesce(F.size(lines) - F.size("left"), F.lit(0)).cast("long").alias(count_col)] if count_col else []
+    return joined.select(*[F.array_join("left", "\n").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in out], *counted)

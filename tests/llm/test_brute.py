@@ -84,36 +84,60 @@ def test_linked_sets_share_a_tile(size, changes, seed):
         assert list(jaccard.tree_join(p[None], q[None], 90, 100)) == [(0, 0)]
 
 
-def test_line_dedup_query(spark, sf, documents):
-    lines = [(i, k, line, tuple(w for w in line.split(" ") if w)) for i, t in zip(documents.doc_id, documents.text, strict=True) for k, line in enumerate(t.split("\n"))]
-    lines.sort(key=lambda x: x[:2])
-    sets = [frozenset(zip(*(w[j:] for j in range(5)), strict=False)) if len(w) >= 5 else frozenset() for *_, w in lines]
-    holds = collections.defaultdict(list)
-    gone = set()
-    for n, s in enumerate(sets):
-        near = {m for t in s for m in holds[t]}
-        if any(5 * len(s & sets[m]) >= 4 * len(s | sets[m]) for m in near):
+def word_matches(lines):
+    """Numbers of the lines that any earlier one matches by 4/5 of the words of both, by brute force over an inverted index."""
+    holds, gone = collections.defaultdict(list), set()
+    for n, line in enumerate(lines):
+        s = frozenset(line.split())
+        common = collections.Counter(m for w in s for m in holds[w])
+        if any(5 * c >= 4 * (len(s) + len(frozenset(lines[m].split())) - c) for m, c in common.items()):
             gone.add(n)
-        for t in s:
-            holds[t].append(n)
+        for w in s:
+            holds[w].append(n)
+    return gone
+
+
+@pytest.mark.parametrize("many", [1, 1000])
+def test_line_dedup_query(spark, sf, documents, monkeypatch, many):
+    """The words of every line of the table, short lines too; also with all but the rarest tokens taken in pairs."""
+    monkeypatch.setattr(line_dedup, "MANY_SETS", many)
+    lines = sorted((i, k, line) for i, t in zip(documents.doc_id, documents.text, strict=True) for k, line in enumerate(t.split("\n")))
+    gone = word_matches([line for *_, line in lines])
     want = collections.defaultdict(list)
-    for n, (i, _, line, _) in enumerate(lines):
+    for n, (i, _, line) in enumerate(lines):
         want[i] += [line] if n not in gone else []
     got = QUERIES["op3_line_dedup"](spark, sf).collect()
     assert {r["doc_id"]: r["text"] for r in got} == {i: "\n".join(want[i]) for i in documents.doc_id}
     assert sum(r["n_removed"] for r in got) == len(gone) > 0
+    assert any(len(lines[n][2].split()) < 5 for n in gone)
 
 
-def test_line_dedup_of_chains(spark):
-    words = [f"w{i}" for i in range(80)]
+@pytest.mark.parametrize("many", [1, 3, 1000])
+def test_line_dedup_of_chains(spark, monkeypatch, many):
+    """Near copies of near copies, in short and long lines, of frequent words only."""
+    monkeypatch.setattr(line_dedup, "MANY_SETS", many)
+    rng = np.random.default_rng(4)
     rows = []
-    for i in range(30):
-        words = words.copy()
-        words[(i * 7) % 80] = f"x{i}"
-        rows.append((i, " ".join(words)))
-    got = {r["doc_id"]: r["n"] for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), count_col="n").collect()}
-    sets = [frozenset(zip(*(t.split()[j:] for j in range(5)), strict=False)) for _, t in rows]
-    assert got == {i: int(any(5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) for j in range(i))) for i in range(30)}
+    for size, swap in ((4, 1), (5, 1), (12, 1), (80, 3), (200, 12)):
+        words = [f"w{i}" for i in range(size)]
+        for _ in range(25):
+            words = words.copy()
+            for at in rng.choice(size, swap, False):
+                words[at] = f"w{int(rng.integers(size * 2))}"
+            rows.append((len(rows), " ".join(words)))
+    got = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), count_col="n").collect()
+    assert {r["doc_id"] for r in got if r["n"]} == word_matches([t for _, t in rows])
+
+
+def test_line_dedup_of_repeated_ids_and_clashing_names(spark):
+    rows = [(1, "a b c d e", 0), (2, "x y z", 1), (2, "a b c d e\nnew", 2), (2, "x y z", 3), (None, "a b c d e", 4), (None, None, 5), (3, None, 6)]
+    names = ["__doc", "doc", "place", "row", "kept", "left", "text2", "tokens", "key"]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n long").coalesce(1)
+    for c in names:
+        df = df.withColumn(c, df["n"])
+    got = {r["n"]: r for r in line_dedup.line_dedup(df, count_col="gone").collect()}
+    assert [(got[n]["text"], got[n]["gone"]) for n in range(7)] == [("a b c d e", 0), ("x y z", 0), ("new", 1), ("", 1), ("a b c d e", 0), (None, 0), (None, 0)]
+    assert all(got[n][c] == n for n in range(7) for c in names)
 
 
 def test_url_query_matches_sql(spark, sf):
