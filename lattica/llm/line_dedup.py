@@ -9,29 +9,34 @@ Lines with the same tokens are one set, held by its first line.  Sets meet under
 the tokens of their prefixes.  A token in the prefixes of many sets is taken
 together with a second token of a prefix longer by one: sets that are alike have
 two tokens of those in common.  Under a key each set meets the key's first set;
-only one that this one cannot remove meets all earlier ones.
+only a set that none of these removes meets all earlier ones.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import discard, materialise
 
 #: A token's frequency class is looked up by so many bits of its hash, in a table of fixed size (1 MB).
 BUCKET_BITS = 20
-#: Sets under a token beyond which a second token joins it; such tokens that are broadcast, beyond which they are joined by shuffle.
-MANY_SETS, BROADCAST_TOKENS = 1_000, 200_000
+#: A token of this frequency class or above (seen more than 1,024 times) is taken together with a second one.
+MANY_CLASS = 11
 #: Documents and lines in a list that is broadcast, beyond which it is joined by shuffle.
 BROADCAST_IDS, BROADCAST_LINES = 500_000, 4_000_000
 #: Words stand between white space, whatever its kind (that of Python's ``str.split``).
 SPACE = r"\s\x1c-\x1f\x85\p{Z}"
 
 
-def words(text: str | Column) -> Column:
-    """The words of a text; an empty one stands where white space begins or ends it."""
-    return F.split(text, f"[{SPACE}]+")
+def words(line: str) -> Column:
+    """The words of a line; empty ones stand where white space begins, ends or repeats."""
+    odd = F.rlike(F.col(line), F.lit(f"[{SPACE}&&[^ ]]"))
+    return F.when(odd, F.split(line, f"[{SPACE}]+")).otherwise(F.split(line, " "))
+
+
+def _lines(text: str) -> Column:
+    return F.split(text, "\n")
 
 
 def rarity(docs: DataFrame, text_col: str) -> DataFrame:
@@ -39,8 +44,8 @@ def rarity(docs: DataFrame, text_col: str) -> DataFrame:
 
     The class is the logarithm of the count, rounded up: 0 is for tokens seen once.
     """
-    token = F.explode(words(text_col))
-    counts = docs.select(token.alias("t")).groupBy(F.xxhash64("t").alias("h")).agg(F.count("*").alias("n"))
+    tokens = docs.select(F.explode(_lines(text_col)).alias("line")).select(F.explode(words("line")).alias("t"))
+    counts = tokens.groupBy(F.xxhash64("t").alias("h")).agg(F.count("*").alias("n"))
     counts = counts.groupBy(F.shiftrightunsigned("h", 64 - BUCKET_BITS).cast("int").alias("bucket")).agg(F.max("n").alias("n"))
     every = docs.sparkSession.range(1 << BUCKET_BITS).select(F.col("id").cast("int").alias("bucket"))
     classes = every.join(counts, "bucket", "left").select("bucket", F.least(F.ceil(F.log2(F.coalesce("n", F.lit(1)))), F.lit(63)).cast("tinyint").alias("c"))
@@ -66,28 +71,17 @@ def _least_overlap(n: Column, num: int, den: int) -> Column:
     return F.call_function("div", n * num + (den - 1), F.lit(den)).cast("int")
 
 
-def _shared(num: int, den: int) -> Column:
-    """(at, token) of the prefix of a set, but for tokens of class 0, which are in one line only."""
-    width = F.col("n") - _least_overlap(F.col("n"), num, den) + 1
-    numbered = F.transform(F.slice("prefix", F.lit(1), width), lambda t, i: F.struct(i.alias("at"), t.alias("token")))
-    return F.filter(numbered, lambda s: s["token"] >= -(31 << 58))
-
-
-def _hot(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Tokens in the prefixes of more than ``MANY_SETS`` sets."""
-    single = sets.select(F.explode(F.transform(_shared(num, den), lambda s: s["token"])).alias("token"))
-    return single.groupBy("token").count().where(F.col("count") > MANY_SETS).select(F.col("token").alias("hot"))
+def _posts(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """key, doc, place, n, parity, at: every set under each key of its prefix; ``at`` is the place of the key's first token.
 
-
-def _posts(sets: DataFrame, num: int, den: int, hot: DataFrame) -> DataFrame:
-    """key, doc, place, n, parity, at: every set under each key of its prefix; ``at`` is the place of the key's first token."""
-    posts = sets.select("doc", "place", "n", "parity", "prefix", F.explode(_shared(num, den)).alias("s")).select("doc", "place", "n", "parity", "prefix", "s.at", "s.token")
-    n_hot = hot.count()
-    if not n_hot:
-        return posts.select("doc", "place", "n", "parity", "at", F.col("token").alias("key"))
-    posts = posts.join(F.broadcast(hot) if n_hot <= BROADCAST_TOKENS else hot, F.col("token") == F.col("hot"), "left")
-    pairs = F.transform(F.slice("prefix", F.col("at") + 2, F.size("prefix")), lambda b: F.xxhash64("token", b))
-    return posts.select("doc", "place", "n", "parity", "at", F.explode(F.when(F.col("hot").isNull(), F.array("token")).otherwise(pairs)).alias("key"))
+    A token of class 0 is in one line only and is no key.
+    """
+    low = lambda grade: (grade - 32) << 58
+    width = F.col("n") - _least_overlap(F.col("n"), num, den) + 1
+    later = lambda t, i: F.transform(F.slice("prefix", i + 2, F.size("prefix")), lambda b: F.struct(i.alias("at"), F.xxhash64(t, b).alias("key")))
+    keys = lambda t, i: F.when(t < low(1), F.array()).when(t < low(MANY_CLASS), F.array(F.struct(i.alias("at"), t.alias("key")))).otherwise(later(t, i))
+    made = F.flatten(F.transform(F.slice("prefix", F.lit(1), width), keys))
+    return sets.select("doc", "place", "n", "parity", F.explode(made).alias("s")).select("doc", "place", "n", "parity", "s.at", "s.key")
 
 
 def line_dedup(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text", count_col: str | None = None) -> DataFrame:
@@ -112,7 +106,7 @@ def line_dedup(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_i
     classes = materialise(rarity(source, "text"), "line-rarity")
 
     # one line for each token set, the first, with its prefix; partial aggregation takes copies where they lie
-    cut = source.select("doc", F.posexplode(F.split("text", "\n")).alias("place", "line"))
+    cut = source.select("doc", F.posexplode(_lines("text")).alias("place", "line"))
     n = F.size("tokens")
     prefix = F.slice("tokens", F.lit(1), n - _least_overlap(n, num, den) + 2)
     # parity of the tokens at each of 64 places: sets differ in no fewer tokens than their parities in bits
@@ -129,22 +123,10 @@ def line_dedup(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_i
 
     # sets of fewer tokens than that have no match but themselves
     least = next(n for n in range(1, 10 * den) if (n + 1) * num <= n * den) if num < den else 1 << 30
-    several = sets.where(F.col("n") >= least)
-    hot = materialise(_hot(several, num, den), "line-hot")
-    posts = _posts(several, num, den, hot).repartition("key")
-
-    def earlier(y: str, x: str) -> Column:
-        return F.expr(f"({y}.doc < {x}.doc or {y}.doc = {x}.doc and {y}.place < {x}.place)")
-
-    def pair() -> list[Column]:
-        return [F.expr("struct(y.doc, y.place)").alias("earlier"), F.expr("struct(x.doc, x.place)").alias("later")]
+    posts = _posts(sets.where(F.col("n") >= least), num, den).repartition("key")
 
-    # under each key, a set that may match the key's first set meets only that one
-    firsts = posts.groupBy("key").agg(F.count("*").alias("held"), F.min(F.struct("doc", "place", "n", "parity", "at")).alias("hub")).where("held > 1").drop("held")
-    x = posts.alias("p").join(firsts, "key").where(F.expr("struct(p.doc, p.place) <> struct(hub.doc, hub.place)"))
-    x = x.select("key", "doc", "place", "n", "parity", "at", F.when(may("p", "hub"), F.col("hub.doc")).alias("hub_doc"), F.col("hub.place").alias("hub_place")).alias("x")
-    met = x.join(posts.alias("y"), F.expr("x.key = y.key") & may("x", "y") & earlier("y", "x") & F.expr("x.hub_doc is null or (x.hub_doc = y.doc and x.hub_place = y.place)"))
-    pairs = materialise(met.select(*pair()).distinct(), "line-pairs")
+    def pair(x: str, y: str) -> list[Column]:
+        return [F.expr(f"struct({y}.doc, {y}.place)").alias("earlier"), F.expr(f"struct({x}.doc, {x}.place)").alias("later")]
 
     def matched(pairs: DataFrame) -> DataFrame:
         """Of pairs (earlier, later), the later lines whose sets are alike enough; only lines in pairs are cut into tokens again."""
@@ -152,7 +134,7 @@ def line_dedup(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_i
         places = materialise(asked.groupBy("doc").agg(F.collect_set("place").alias("places")), "line-asked")
         size = places.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size("places")), F.lit(0)).alias("lines")).first()
         wanted = source.join(F.broadcast(places) if size["docs"] <= BROADCAST_IDS and size["lines"] <= BROADCAST_LINES else places, "doc")
-        lines = wanted.select("doc", "places", F.posexplode(F.split("text", "\n")).alias("place", "line")).where(F.array_contains("places", F.col("place")))
+        lines = wanted.select("doc", "places", F.posexplode(_lines("text")).alias("place", "line")).where(F.array_contains("places", F.col("place")))
         whole = materialise(tokens(lines.select("doc", "place", "line"), classes), "line-tokens")
         side = lambda s: whole.select(F.struct("doc", "place").alias(s), F.col("tokens").alias(f"{s}_tokens"))
         both = pairs.join(side("earlier"), "earlier").join(side("later"), "later")
@@ -162,25 +144,24 @@ def line_dedup(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_i
         discard(places, whole)
         return found
 
-    gone = matched(pairs)
-    # a line that passed the filters with a first set, but that nothing has removed, meets all earlier lines of its keys
-    again = materialise(pairs.select("later.*").distinct().join(gone, ["doc", "place"], "left_anti"), "line-again")
-    n_again = again.count()
-    if n_again:
-        few = F.broadcast(again) if n_again <= BROADCAST_IDS else again
-        x = materialise(_posts(several.join(few, ["doc", "place"], "left_semi"), num, den, hot), "line-posts")
-        x = F.broadcast(x.alias("x")) if x.count() <= BROADCAST_IDS else x.alias("x")
-        rest = _posts(several, num, den, hot).alias("y").join(x, F.expr("x.key = y.key") & may("x", "y") & earlier("y", "x"))
-        rest = materialise(rest.select(*pair()).distinct().join(pairs, ["earlier", "later"], "left_anti"), "line-pairs")
-        gone = gone.unionByName(matched(rest))
-        discard(rest)
-    discard(pairs, again, hot)
+    # under each key every set meets the first one
+    star = posts.select("key", F.struct("doc", "place", "n", "parity", "at").alias("x")).withColumn("hub", F.min("x").over(Window.partitionBy("key")))
+    star = star.where(may("x", "hub") & F.expr("x.doc <> hub.doc or x.place <> hub.place"))
+    star = materialise(star.select(*pair("x", "hub")).distinct(), "line-star")
+    gone = matched(star)
+    # what that leaves meets every earlier set
+    few = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    left = posts.join(few, ["doc", "place"], "left_anti").alias("x")
+    rest = left.join(posts.alias("y"), F.expr("x.key = y.key") & may("x", "y") & F.expr("(y.doc < x.doc or y.doc = x.doc and y.place < x.place)"))
+    rest = materialise(rest.select(*pair("x", "y")).distinct().join(star, ["earlier", "later"], "left_anti"), "line-rest")
+    gone = gone.unionByName(matched(rest))
+    discard(star, rest)
 
     kept = materialise(sets.join(gone, ["doc", "place"], "left_anti").groupBy("doc").agg(F.collect_set("place").alias("kept")), "line-kept")
     discard(sets)
     size = kept.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size("kept")), F.lit(0)).alias("lines")).first()
     joined = rows.join(F.broadcast(kept) if size["docs"] <= BROADCAST_IDS and size["lines"] <= BROADCAST_LINES else kept, "doc", "left")
-    lines = F.split("text", "\n")
+    lines = _lines("text")
     stays = lambda line, i: F.coalesce(F.array_contains("kept", i), F.lit(False)) | ~F.rlike(line, F.lit(f"[^{SPACE}]"))
     joined = joined.select("row", "text", F.when(F.col("doc").isNull(), lines).otherwise(F.filter(lines, stays)).alias("left"))
     counted = [F.coalesce(F.size(lines) - F.size("left"), F.lit(0)).cast("long").alias(count_col)] if count_col else []
