@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import discard, materialise
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -26,7 +26,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # small star: from each node, it and its smaller neighbours go to the smallest
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array("u", "v")).alias("u"), "m").where("u <> m").select("u", F.col("m").alias("v")).distinct()
-        pairs = materialise(small, "edges")
+        last, pairs = pairs, materialise(small, "edges")
+        discard(last)
         state = pairs.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long"))).first()
         if state == before:
             return pairs.select(F.col("u").alias("id"), F.col("v").alias("label")).unionByName(pairs.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct())

@@ -8,8 +8,10 @@ In a tile the sum of coordinate minima bounds the overlap, first of R-tree
 nodes, then of points; surviving pairs are verified on the shingle sets.
 
 One document of a tile is compared with all others first.  Only tiles whose
-members are not in one component after that are joined in full, in pairs of
-chunks of bounded size.
+members are not in one component after that are joined in full by R-trees, in
+pairs of chunks of bounded size: once over the points, which leaves the members
+that may link, then with their sets at hand.  A task verifies the pairs that the
+trees leave and gives back at most one link a member.
 """
 
 from __future__ import annotations
@@ -21,13 +23,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, materialise
+from .common import arrow_rows, discard, materialise
 from .graph import components
 from .packing import chunks
 from .shingles import mix, shingle_sets
 
-#: Coordinates of a point; points of an R-tree leaf; members of a tile in one chunk; candidates whose ids are broadcast.
-GROUPS, LEAF, CHUNK, BROADCAST_IDS = 64, 16, 1_000, 500_000
+#: Coordinates of a point; points of an R-tree leaf; members of a tile, and their shingles, in one chunk; candidates whose ids are broadcast.
+GROUPS, LEAF, CHUNK, CHUNK_SHINGLES, BROADCAST_IDS = 64, 16, 1_000, 1_000_000, 500_000
+#: Members, and shingles, of the small tiles that one call joins.
+CALL_MEMBERS, CALL_SHINGLES = 4_000, 4_000_000
 
 
 class Bands:
@@ -147,6 +151,53 @@ def tree_join(a: np.ndarray, b: np.ndarray, num: int, den: int):
             yield from zip(leaf[x].tolist(), other[y].tolist(), strict=True)
 
 
+def _chunk_pairs(pdf: pd.DataFrame):
+    """The pairs of chunks in ``pdf``, each as two tables of members: of its first chunk and of its second."""
+    for _, one in pdf.sort_values(["tile", "c", "d", "node"]).groupby(["tile", "c", "d"], sort=False):
+        left, right = one[one["part"] == one["c"]], one[one["part"] == one["d"]]
+        if len(left) and len(right):
+            yield left, right
+
+
+def _candidates(left: pd.DataFrame, right: pd.DataFrame, num: int, den: int):
+    """Index pairs of members of different labels that the trees leave."""
+    x, y = left["label"].to_numpy(), right["label"].to_numpy()
+    pairs = tree_join(np.stack(left["point"].to_numpy()), np.stack(right["point"].to_numpy()), num, den)
+    return ((i, j) for i, j in pairs if x[i] != y[j])
+
+
+def may_link(pdf: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
+    """tile, c, d, node: the members that the points of some member of another label leave."""
+    out = []
+    for left, right in _chunk_pairs(pdf):
+        a, b = left["node"].to_numpy(), right["node"].to_numpy()
+        alive = {n for i, j in _candidates(left, right, num, den) for n in (a[i], b[j])}
+        out += [(*left[["tile", "c", "d"]].iloc[0], n) for n in alive]
+    return pd.DataFrame(out, columns=["tile", "c", "d", "node"]).astype({"tile": "int64", "c": "int32", "d": "int32", "node": "int64"})
+
+
+def spanning_links(pdf: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
+    """a, b: verified links that join what the labels leave apart; pairs that links already join are not looked at."""
+    out = []
+    for left, right in _chunk_pairs(pdf):
+        a, b = left["node"].to_numpy(), right["node"].to_numpy()
+        x, y = left["label"].to_numpy(), right["label"].to_numpy()
+        sets, others = left["shingles"].to_numpy(), right["shingles"].to_numpy()
+        parent: dict[int, int] = {}
+
+        def root(v: int, parent=parent) -> int:
+            while v in parent:
+                v = parent[v]
+            return v
+
+        for i, j in _candidates(left, right, num, den):
+            u, v = root(x[i]), root(y[j])
+            if u != v and len(np.intersect1d(sets[i], others[j], assume_unique=True)) * (num + den) >= (len(sets[i]) + len(others[j])) * num:
+                parent[max(u, v)] = min(u, v)
+                out.append((min(a[i], b[j]), max(a[i], b[j])))
+    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+
 def similarity_components(docs: DataFrame, num: int = 90, den: int = 100, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs``.
 
@@ -171,19 +222,23 @@ def similarity_components(docs: DataFrame, num: int = 90, den: int = 100, words:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, len(part)), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), _longs(tile_keys(sets, bands))], ["doc_id", "n_shingles", "set_key", "tiles"])
 
     rows = materialise(source.mapInArrow(describe, "doc_id long, n_shingles long, set_key binary, tiles array<long>"), "jaccard-rows")
-    nodes = materialise(rows.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("node")), "jaccard-nodes")
+    sets_of = materialise(rows.select("doc_id", "n_shingles", "set_key"), "jaccard-sets")
+    nodes = materialise(sets_of.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("node")), "jaccard-nodes")
 
     # tiles with at least two nodes; of tiles with the same members one is enough
-    others = rows.select("doc_id", "set_key").join(nodes, "set_key").where("doc_id <> node").select("doc_id", "set_key")
+    others = sets_of.select("doc_id", "set_key").join(nodes, "set_key").where("doc_id <> node").select("doc_id", "set_key")
     others = materialise(others, "jaccard-others")
     chosen = rows.where("set_key is not null and doc_id is not null").join(F.broadcast(others) if others.count() <= BROADCAST_IDS else others, ["doc_id", "set_key"], "left_anti")
     posts = chosen.select(F.col("doc_id").alias("node"), F.explode("tiles").alias("tile"))
     in_tile = Window.partitionBy("tile")
     posts = posts.withColumn("hub", F.min("node").over(in_tile)).withColumn("last", F.max("node").over(in_tile))
     shared = materialise(posts.where("hub <> last").select("tile", "hub", "node").distinct(), "jaccard-shared")
-    named = shared.groupBy("tile", "hub").agg(F.count("*").alias("members"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("who"))
-    named = named.groupBy("members", "hub", "who").agg(F.min("tile").alias("tile"))
+    discard(rows, others)
+    whole = lambda seed: F.sum(F.xxhash64("node", F.lit(seed)).cast("decimal(20,0)"))
+    named = shared.groupBy("tile", "hub").agg(F.count("*").alias("members"), whole(1).alias("who"), whole(2).alias("who2"))
+    named = named.groupBy("members", "hub", "who", "who2").agg(F.min("tile").alias("tile"))
     tiles = materialise(shared.join(named.select("tile", "members"), "tile"), "jaccard-tiles")
+    discard(shared)
 
     # points and sets of the nodes in tiles, from their texts again; a row that repeats a node's id with another set is left out
     wanted = nodes.join(tiles.select("node").distinct(), "node").select(F.col("node").alias("doc_id"), F.col("set_key").alias("wanted_key"))
@@ -216,9 +271,12 @@ def similarity_components(docs: DataFrame, num: int = 90, den: int = 100, words:
         total = lambda c: F.aggregate(c, F.lit(0), lambda s, x: s + x)
         minima = total(F.zip_with("point_a", "point_b", lambda x, y: F.least(x, y)))
         alive = joined(pairs, "point").where(minima * (num + den) >= (total("point_a") + total("point_b")) * num).select("a", "b")
-        both = joined(materialise(alive, "jaccard-alive"), "shingles")
+        alive = materialise(alive, "jaccard-alive")
+        both = joined(alive, "shingles")
         shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
-        return materialise(both.where(shared * (num + den) >= (F.size("shingles_a") + F.size("shingles_b")) * num).select("a", "b"), "jaccard-links")
+        found = materialise(both.where(shared * (num + den) >= (F.size("shingles_a") + F.size("shingles_b")) * num).select("a", "b"), "jaccard-links")
+        discard(pairs, alive)
+        return found
 
     def unresolved(labels: DataFrame) -> DataFrame:
         """Members, with their labels, of tiles of three and more that still hold several labels."""
@@ -235,22 +293,25 @@ def similarity_components(docs: DataFrame, num: int = 90, den: int = 100, words:
         links = links.unionByName(verified(again))
         told = unresolved(components(links))
         # what is still apart is joined in full: a chunk meets every chunk, itself included, as (smaller, larger)
-        told = told.withColumn("parts", F.ceil(F.col("members") / CHUNK).cast("int")).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-        met = told.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("tile", F.least("part", "other").alias("c"), F.greatest("part", "other").alias("d"), "part", "node", "label")
-        met = met.join(details.select("node", "point"), "node")
-
-        def join_chunks(pdf: pd.DataFrame) -> pd.DataFrame:
-            left = pdf[pdf["part"] == pdf["c"]].reset_index(drop=True)
-            right = pdf[pdf["part"] == pdf["d"]].reset_index(drop=True)
-            out = []
-            if len(left) and len(right):
-                a, b = left["node"].to_numpy(), right["node"].to_numpy()
-                x, y = left["label"].to_numpy(), right["label"].to_numpy()
-                out = [(min(a[i], b[j]), max(a[i], b[j])) for i, j in tree_join(np.stack(left["point"].to_numpy()), np.stack(right["point"].to_numpy()), num, den) if x[i] != y[j]]
-            return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
-
-        links = links.unionByName(verified(met.groupBy("tile", "c", "d").applyInPandas(join_chunks, "a long, b long")))
+        told = told.select("tile", "node", "label", "members").join(details.select("node", "point", F.size("shingles").alias("n")), "node")
+        load = told.groupBy("tile").agg(F.greatest(F.ceil(F.max("members") / CHUNK), F.ceil(F.sum("n") / CHUNK_SHINGLES)).cast("int").alias("parts"))
+        met = told.join(load, "tile").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        met = met.select("tile", F.least("part", "other").alias("c"), F.greatest("part", "other").alias("d"), "part", "node", "label", "n", "point")
+
+        def calls(rows: DataFrame, most: int, size) -> DataFrame:
+            """``rows`` with the number of the call that joins their tile and chunks."""
+            total = rows.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+            return rows.withColumn("call", F.pmod(F.xxhash64("tile", "c", "d"), F.lit(max(1, -(-total // most)))))
+
+        alive = calls(met, CALL_MEMBERS, F.lit(1)).groupBy("call").applyInPandas(lambda pdf: may_link(pdf, num, den), "tile long, c int, d int, node long")
+        alive = materialise(alive, "jaccard-alive")
+        met = materialise(met.join(alive, ["tile", "c", "d", "node"], "left_semi"), "jaccard-met")
+        sized = calls(met, CALL_SHINGLES, F.col("n")).join(details.select("node", "shingles"), "node")
+        links = links.unionByName(materialise(sized.groupBy("call").applyInPandas(lambda pdf: spanning_links(pdf, num, den), "a long, b long"), "jaccard-links"))
+        discard(alive, met)
         labels = components(links)
+    discard(tiles, wanted, details)
     labels = labels.withColumnRenamed("id", "node")
     found = nodes.join(labels, "node", "left").select("set_key", F.coalesce("label", "node").alias("found"))
-    return rows.join(found, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("found", "doc_id").alias("component_id"))
+    return sets_of.join(found, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("found", "doc_id").alias("component_id"))
