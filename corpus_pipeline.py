@@ -47,7 +47,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     kept = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
     if found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
         return kept
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+    named = kept.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return named.unionByName(kept.where("doc_id is null"))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
