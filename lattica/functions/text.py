@@ -72,8 +72,9 @@ def url_host_in(url: Column, hosts: list[str]) -> Column:
 
 
 def opaque_id_faults(entity_id: Column, prefix: str, source_key: Column | None = None) -> Column:
-    """Reasons why an identity is not opaque: form, prefix, or a source key inside it."""
-    reasons = [F.when(~entity_id.rlike("^[a-z]{3}_[0-9a-f]{32}$"), "form"), F.when(~entity_id.startswith(prefix), "prefix")]
+    """Reasons why an identity is not opaque: form, prefix, or a source key inside it; a null one lacks form and prefix."""
+    fails = lambda good: ~F.coalesce(good, F.lit(False))
+    reasons = [F.when(fails(entity_id.rlike("^[a-z]{3}_[0-9a-f]{32}$")), "form"), F.when(fails(entity_id.startswith(prefix)), "prefix")]
     if source_key is not None:
         reasons.append(F.when(F.contains(entity_id, source_key), "source_key_inside"))
     return F.array_compact(F.array(*reasons))

@@ -16,7 +16,7 @@ DECIMAL = "decimal(38,6)"
 
 def strip(raw: Column) -> Column:
     """Trim every kind of white space, ideographic spaces too."""
-    return F.regexp_replace(F.regexp_replace(raw, r"^[\s\p{Z}]+", ""), r"[\s\p{Z}]+$", "")
+    return F.regexp_replace(raw, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
 
 
 def clean_text(raw: Column) -> Column:
@@ -36,7 +36,7 @@ def _unknown(raw: Column, strict: bool, what: str) -> Column:
 
 
 def _observation(raw: Column, status: Column, value: Column, keeps=NUMERIC) -> Column:
-    return F.struct(raw.alias("raw"), F.when(status.isin(*keeps), value).alias("value"), status.alias("status"))
+    return F.struct(strip(raw).alias("raw"), F.when(status.isin(*keeps), value).alias("value"), status.alias("status"))
 
 
 def _count_status(raw: Column, strict: bool) -> Column:
@@ -100,7 +100,7 @@ def district_cell(raw: Column, unit: Column, million: str = "百万円", strict:
 def plain_or_symbol(raw: Column) -> Column:
     """Digits and commas are a number, anything else an unresolved symbol."""
     good = F.coalesce(raw.rlike("^[0-9,]+$") & raw.rlike("[0-9]"), F.lit(False))
-    return F.struct(raw.alias("raw"), F.when(good, number(raw)).alias("value"), F.when(good, "observed").otherwise("symbol_unresolved").alias("status"))
+    return F.struct(strip(raw).alias("raw"), F.when(good, number(raw)).alias("value"), F.when(good, "observed").otherwise("symbol_unresolved").alias("status"))
 
 
 def integral(value: Column) -> Column:

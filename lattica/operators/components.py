@@ -35,8 +35,8 @@ def complete_case(df: DataFrame, keys: Sequence[str], value: str, status: str, o
 
     Columns: keys, total, complete, observed, expected, missing (``order:status`` joined), has_rounding.
     """
-    ok = F.col(status).isin(*allowed)
-    lacking = F.array_sort(F.collect_list(F.when(~ok, F.concat_ws(":", F.col(order).cast("string"), F.col(status)))))
+    ok = F.coalesce(F.col(status).isin(*allowed), F.lit(False))
+    lacking = F.array_sort(F.collect_list(F.when(~ok, F.concat_ws(":", F.col(order).cast("string"), F.coalesce(F.col(status), F.lit("null"))))))
     return df.groupBy(*keys).agg(
         F.when(F.count_if(ok) == F.count("*"), F.sum(value)).alias("total"),
         (F.count_if(ok) == F.count("*")).alias("complete"),

@@ -124,6 +124,8 @@ def near_collision_pairs(spark, d):
     return screen.near_collisions(p, "p_partkey", "p_name", "p_brand", "lon", "lat", 5.0).withColumn("km", F.round("km", 6))
 
 
+ROUTE = f"chain AS (SELECT *, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS INTEGER) AS seq FROM ({PTS[8:-1]}))"
+#: Even customers are the chain, odd ones the records that it is screened for.
 CHAIN = f"chain AS (SELECT *, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS INTEGER) AS seq FROM (SELECT * FROM ({PTS[8:-1]}) WHERE c_custkey % 2 = 0))"
 
 
@@ -131,10 +133,11 @@ def chain(spark, d):
     return screen.ordinals(points(spark, d).where("c_custkey % 2 = 0"), ["c_nationkey"], F.col("c_custkey"), name="seq")
 
 
-@query(f"""WITH {CHAIN}, step AS (SELECT *, lag(lon) OVER w AS px, lag(lat) OVER w AS py FROM chain WINDOW w AS (PARTITION BY c_nationkey ORDER BY seq))
+@query(f"""WITH {ROUTE}, step AS (SELECT *, lag(lon) OVER w AS px, lag(lat) OVER w AS py FROM chain WINDOW w AS (PARTITION BY c_nationkey ORDER BY seq))
 SELECT c_nationkey, seq, c_custkey, round(sum(coalesce({approx_sql('px', 'py', 'lon', 'lat')}, 0)) OVER (PARTITION BY c_nationkey ORDER BY seq), 6) AS cumulative_km FROM step""")
 def chain_cumulative_km(spark, d):
-    return screen.cumulative_km(chain(spark, d), "c_nationkey", "seq", "lon", "lat").select("c_nationkey", "seq", "c_custkey", F.round("cumulative_km", 6).alias("cumulative_km"))
+    route = screen.ordinals(points(spark, d), ["c_nationkey"], F.col("c_custkey"), name="seq")
+    return screen.cumulative_km(route, "c_nationkey", "seq", "lon", "lat").select("c_nationkey", "seq", "c_custkey", F.round("cumulative_km", 6).alias("cumulative_km"))
 
 
 @query(f"""WITH {PTS}, {CHAIN}, edge AS (SELECT c_nationkey, seq AS edge_index, lon AS a, lat AS b, lead(lon) OVER w AS x, lead(lat) OVER w AS y FROM chain WINDOW w AS (PARTITION BY c_nationkey ORDER BY seq)),
@@ -192,11 +195,11 @@ def station_buffer(spark, d):
     return model.buffer_sums(points(spark, d).select("lon", "lat", "c_custkey"), s, "s_suppkey", "c_custkey", [0.4, 0.8, 1.2])
 
 
-@query("""WITH RECURSIVE cells AS (SELECT DISTINCT c_custkey % 97 AS x, (c_custkey * 31) % 89 AS y FROM customer WHERE c_custkey <= 1500),
+@query("""WITH RECURSIVE cells AS (SELECT DISTINCT c_custkey % 97 AS x, (c_custkey * 31) % 89 AS y FROM customer),
 walk(x, y, rx, ry) AS (SELECT x, y, x, y FROM cells UNION SELECT c.x, c.y, w.rx, w.ry FROM walk w JOIN cells c ON abs(c.x - w.x) + abs(c.y - w.y) = 1)
 SELECT x, y, min_x || ':' || min_y AS component FROM (SELECT x, y, min(rx) AS min_x, arg_min(ry, row(rx, ry)) AS min_y FROM walk GROUP BY 1, 2)""")
 def connected_meshes(spark, d):
-    c = read(spark, d, "customer", "c_custkey").where("c_custkey <= 1500").select((F.col("c_custkey") % 97).alias("x"), (F.col("c_custkey") * 31 % 89).alias("y"))
+    c = read(spark, d, "customer", "c_custkey").select((F.col("c_custkey") % 97).alias("x"), (F.col("c_custkey") * 31 % 89).alias("y"))
     return model.connected_cells(c)
 
 

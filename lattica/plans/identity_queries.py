@@ -9,7 +9,7 @@ from ..operators import constraints, identity
 from .carriers import query, read
 
 _ACC = """acc AS (SELECT o_custkey, o_orderkey, o_orderkey % 97 AS v, CASE WHEN o_orderkey % 8 = 7 THEN 'not_public' WHEN o_orderkey % 4 = 1 THEN 'duplicate_on_other_record' WHEN o_orderkey % 4 = 2 THEN 'station_absent' ELSE 'observed' END AS s
-  FROM orders WHERE o_orderpriority = '1-URGENT')"""
+  FROM orders)"""
 
 
 @query(f"""WITH {_ACC} SELECT o_custkey, CASE WHEN count(*) FILTER (s = 'observed') = 1 THEN max(v) FILTER (s = 'observed') END AS value,
@@ -17,7 +17,7 @@ _ACC = """acc AS (SELECT o_custkey, o_orderkey, o_orderkey % 97 AS v, CASE WHEN
 def access_single_authority(spark, d):
     k = F.col("o_orderkey")
     status = F.when(k % 8 == 7, "not_public").when(k % 4 == 1, "duplicate_on_other_record").when(k % 4 == 2, "station_absent").otherwise("observed")
-    o = read(spark, d, "orders", "o_custkey", "o_orderkey", "o_orderpriority").where("o_orderpriority = '1-URGENT'").select("o_custkey", (k % 97).alias("v"), status.alias("s"))
+    o = read(spark, d, "orders", "o_custkey", "o_orderkey").select("o_custkey", (k % 97).alias("v"), status.alias("s"))
     return comp.single_authority(o, "o_custkey", "v", "s", F.col("s") == "observed")
 
 
@@ -143,19 +143,19 @@ def decisions_applied(spark, d):
 
 
 @query("""SELECT o_orderkey AS review_id, CASE WHEN o_custkey % 2 = 0 THEN 'resolved' ELSE 'open' END AS status, CASE WHEN o_custkey % 2 = 0 THEN '2026-01-01' END AS resolved_at,
-  CASE WHEN o_custkey % 2 = 0 THEN '{"adjudication":"confirm","basis":"' || o_orderstatus || '"}' ELSE '{"basis":"' || o_orderstatus || '"}' END AS evidence_json FROM orders WHERE o_orderkey % 50 = 0""")
+  CASE WHEN o_custkey % 2 = 0 THEN '{"adjudication":"confirm","basis":"' || o_orderstatus || '"}' ELSE '{"basis":"' || o_orderstatus || '"}' END AS evidence_json FROM orders""")
 def review_resolution(spark, d):
-    o = read(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderstatus").where("o_orderkey % 50 = 0")
+    o = read(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderstatus")
     queue = o.select(F.col("o_orderkey").alias("review_id"), F.col("o_custkey").cast("string").alias("source_key"), F.lit("open").alias("status"), F.lit(None).cast("string").alias("resolved_at"), F.to_json(F.struct(F.col("o_orderstatus").alias("basis"))).alias("evidence_json"))
     dec = read(spark, d, "customer", "c_custkey").where("c_custkey % 2 = 0").select(F.col("c_custkey").cast("string").alias("source_key"), F.lit("confirm").alias("decision"))
     return identity.resolve_reviews(queue, dec, "2026-01-01").drop("source_key")
 
 
-@query("""WITH l AS (SELECT DISTINCT l_orderkey % 200 AS hub, l_suppkey AS g FROM lineitem WHERE l_orderkey < 800), d AS (SELECT s_suppkey AS k, s_suppkey * 2 % 210 AS hub, s_suppkey AS a, (s_suppkey * 3) % 100 AS b FROM supplier)
+@query("""WITH l AS (SELECT DISTINCT l_orderkey % 200 AS hub, l_suppkey AS g FROM lineitem), d AS (SELECT s_suppkey AS k, s_suppkey * 2 % 210 AS hub, s_suppkey AS a, (s_suppkey * 3) % 100 AS b FROM supplier)
 SELECT k AS source_key, CASE WHEN k % 2 = 0 THEN hub IN (SELECT hub FROM l) ELSE NOT EXISTS (SELECT 1 FROM l x JOIN l y USING (hub) WHERE x.g = d.a AND y.g = d.b) END AS agrees FROM d""")
 def decision_replay(spark, d):
     k = F.col("s_suppkey")
-    links = read(spark, d, "lineitem", "l_orderkey", "l_suppkey").where("l_orderkey < 800").select((F.col("l_orderkey") % 200).alias("hub_key"), F.col("l_suppkey").alias("group_key")).distinct()
+    links = read(spark, d, "lineitem", "l_orderkey", "l_suppkey").select((F.col("l_orderkey") % 200).alias("hub_key"), F.col("l_suppkey").alias("group_key")).distinct()
     dec = read(spark, d, "supplier", "s_suppkey").select(k.alias("source_key"), F.when(k % 2 == 0, "resolve_duplicate").otherwise("reject_hub").alias("decision"), (k * 2 % 210).alias("target_hub_key"), F.array(k, k * 3 % 100).alias("station_group_keys"))
     return identity.replay_decisions(dec, links)
 

@@ -211,9 +211,9 @@ def metric_coverage(spark, d):
     return _ab(spark, d).select("o_orderkey", explorer.metric_coverage(F.col("a"), F.col("b")).alias("coverage"))
 
 
-@query("""SELECT l_orderkey, '[' || string_agg('{"line":' || l_linenumber || ',"part":' || l_partkey || '}', ',' ORDER BY l_linenumber, l_partkey) || ']' AS json FROM lineitem WHERE l_orderkey < 2000 GROUP BY 1""")
+@query("""SELECT l_orderkey, '[' || string_agg('{"line":' || l_linenumber || ',"part":' || l_partkey || '}', ',' ORDER BY l_linenumber, l_partkey) || ']' AS json FROM lineitem GROUP BY 1""")
 def json_documents(spark, d):
-    li = read(spark, d, "lineitem", "l_orderkey", F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part")).where("l_orderkey < 2000")
+    li = read(spark, d, "lineitem", "l_orderkey", F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part"))
     return explorer.document(li, "l_orderkey", "line", "part")
 
 
@@ -254,9 +254,9 @@ def prediction_faults(spark, d):
     return evaluate.payload_faults(pred, cases)
 
 
-@query("SELECT user_id, event_type, max(ts) AS latest FROM events WHERE value > 10 GROUP BY 1, 2")
+@query("SELECT user_id, event_type, max(ts) AS latest FROM events GROUP BY 1, 2")
 def latest_event_per_key(spark, d):
-    return read(spark, d, "events", "user_id", "event_type", "ts", "value").where("value > 10").groupBy("user_id", "event_type").agg(F.max("ts").alias("latest"))
+    return read(spark, d, "events", "user_id", "event_type", "ts").groupBy("user_id", "event_type").agg(F.max("ts").alias("latest"))
 
 
 @query("SELECT date_trunc('hour', ts) AS window_start, event_type, CAST(count(*) AS BIGINT) AS n, round(sum(value), 4) AS value_sum FROM events GROUP BY 1, 2")

@@ -44,9 +44,15 @@ def write_parquet(df: DataFrame, path: str, schema: T.StructType | None = None,
     jvm = spark._jvm
     fs_path = jvm.org.apache.hadoop.fs.Path
     fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(fs_path(path), True)
+    # the table that stands is set aside first, so that a crash in between loses neither
+    before = fs_path(f"{path.rstrip('/')}.before")
+    if fs.exists(fs_path(path)):
+        fs.delete(before, True)
+        fs.rename(fs_path(path), before)
     if not fs.rename(fs_path(staged), fs_path(path)):
+        fs.rename(before, fs_path(path))
         raise GateError(f"{path} could not be published")
+    fs.delete(before, True)
     return {"path": path, "rows": rows, "columns": out.columns}
 
 
@@ -96,7 +102,10 @@ def publish_csv(df: DataFrame, path: str, most: int = 100_000) -> int:
 
 
 def markdown_table(df: DataFrame, most: int = 1_000) -> str:
-    rows = df.limit(most).collect()
+    """A report of at most ``most`` rows; a longer one is an error, not a cut."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise GateError(f"a report holds at most {most} rows")
     cell = lambda v: "—" if v is None else str(v).replace("|", "\\|")
     lines = ["| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
     return "\n".join(lines + ["| " + " | ".join(map(cell, r)) + " |" for r in rows]) + "\n"
