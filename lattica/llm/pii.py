@@ -4,10 +4,12 @@ An entity is a kind and a canonical form; every mention of it, however it is
 punctuated, gets the same surrogate.  A surrogate is drawn from a keyed hash
 and an attempt number.  Over all documents, an entity whose surrogate is
 already another's, or is itself an entity of the corpus, goes to its next attempt.
+Names are known by forms of address, and then found in the whole text.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 import unicodedata
@@ -20,29 +22,34 @@ from pyspark.sql import functions as F
 
 from .common import arrow_rows, materialise
 
-#: Forms of address by gender (f, m, or x for either).
+#: Forms of address by gender (f, m, or x for either), before a name and behind one.
 TITLES = {
     "Mr": "m", "Mister": "m", "Sir": "m", "Herr": "m", "Herrn": "m", "Monsieur": "m", "Señor": "m", "Sr": "m",
     "Mrs": "f", "Ms": "f", "Miss": "f", "Madam": "f", "Frau": "f", "Madame": "f", "Mme": "f", "Mlle": "f", "Señora": "f", "Señorita": "f", "Sra": "f", "Srta": "f",
-    "Dr": "x", "Prof": "x", "г-н": "m", "Господин": "m", "г-жа": "f", "Госпожа": "f", "Κύριος": "m", "Κυρία": "f",
+    "Dr": "x", "Prof": "x", "г-н": "m", "Господин": "m", "г-жа": "f", "Госпожа": "f", "Κύριος": "m", "Κυρία": "f", "السيد": "m", "السيدة": "f",
 }
-#: Given names by script and gender.
+HONORIFICS = {"さん": "x", "様": "x", "氏": "x", "先生": "x", "女士": "f"}
+#: Stems of given names by script.
 GIVEN = {
-    ("latin", "m"): "Adam Albert Anton Arthur Bruno Carl Daniel David Edgar Emil Felix Frank Georg Hugo Ivan Jakob Jonas Julius Leo Lorenz Lucas Martin Max Oscar Otto Paul Peter Robert Simon Thomas Victor Walter".split(),
-    ("latin", "f"): "Ada Agnes Alice Amelia Anna Aurora Bella Clara Cora Diana Edith Elena Elsa Emma Eva Flora Greta Helena Ida Irene Julia Laura Lena Linda Lucia Maria Marta Nina Olga Paula Rosa Vera".split(),
-    ("cyrillic", "m"): "Антон Борис Виктор Глеб Денис Егор Иван Илья Кирилл Лев Максим Марк Олег Павел Роман Степан".split(),
-    ("cyrillic", "f"): "Алла Анна Вера Галина Дарья Ева Зоя Инна Ирина Лидия Мария Нина Ольга Рита Софья Юлия".split(),
-    ("greek", "m"): "Αλέξης Βασίλης Γιάννης Δημήτρης Κώστας Μάριος Νίκος Πέτρος".split(),
-    ("greek", "f"): "Άννα Ελένη Ειρήνη Κατερίνα Μαρία Νίκη Σοφία Χριστίνα".split(),
+    "latin": "Adrian Albin Anton Augustin Carl Christian Damian Daniel Denis Emil Fabian Florian Gabriel Ivan Josef Justin Karol Leon Lucian Manuel Marcel Martin Michael Paul Raphael Robert Roman Simon Stefan Valentin Vincent Wilhelm".split(),
+    "cyrillic": "Александр Богдан Валентин Владислав Драган Зоран Иван Константин Мирослав Милан Роман Руслан Станислав Степан Стефан Ярослав".split(),
+    "greek": "Αλέξανδρ Δήμητρ Κύριλλ Μάρκελλ Πέτρ Στέφαν Φίλιππ Χρίστ".split(),
+    "arabic": "أمين جميل خالد رشيد سعيد سليم سمير عادل كريم نبيل".split(),
+    "han": "明 健 翔 蓮 悠 海 空 光 陽 樹 優 薫".split(),
 }
+#: Endings of given names by script, of a man's or unknown, and of a woman's; of surnames likewise.
+GIVEN_ENDINGS = {"latin": ("", "a"), "cyrillic": ("", "а"), "greek": ("ος", "α"), "arabic": ("", "ة"), "han": ("", "子")}
+SURNAME_ENDINGS = {"latin": ("", ""), "cyrillic": ("ов", "ова"), "greek": ("", ""), "arabic": ("", ""), "han": ("", "")}
 #: Syllables of made surnames by script.
 SYLLABLES = {
     "latin": "ba ber bo cal dan del dor fal fen gar gel hal har ka kel lan lin lor mar mel mor nel nor pel ran ren ros sal ten tor val wen".split(),
     "cyrillic": "ба бер во гал дан дор жал зен кал кел лан лин мар мел мор нел нор пал ран рос сал тен тор фен".split(),
     "greek": "βα γελ δαν δορ καλ κελ λαν λιν μαρ μελ μορ νελ νορ παλ ραν ροσ σαλ τεν τορ φεν".split(),
+    "arabic": "با دان رام زين سال شام عار فار كان لام مار نور هاد يام".split(),
+    "han": "田 山 川 木 林 森 石 村 井 原 野 島 岡 本 松 竹 藤 谷 沢 橋".split(),
 }
 #: Alphabets in which letters are replaced.
-ALPHABETS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчш", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
+ALPHABETS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчш", "greek": "αβγδεζηθικλμνξοπρστυφχψω", "arabic": "ابتجحدرزسشصطعفقكلمنهوي", "han": "".join(SYLLABLES["han"])}
 
 _NAME = r"[^\W\d_](?:[^\W\d_]|['’-](?=[^\W\d_]))+"
 PATTERN = re.compile(
@@ -54,9 +61,10 @@ PATTERN = re.compile(
     r"|(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|(?:1[ .-])?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}|0\d{1,4}[ /.-]\d{2,4}[ .-]\d{2,4}(?:[ .-]\d{2,4})?)(?![\w-]|\.\d))"
     r"|(?P<secret>(?:(?<== \")|(?<==\")|(?<=: \")|(?<=:\")|(?<== )|(?<==)|(?<=: ))(?:[0-9a-f]{16,}|[0-9A-F]{16,}|(?=[A-Za-z]*\d)(?=\d*[A-Za-z])[A-Za-z0-9_-]{20,}))"
     rf"|(?P<title>(?<!\w)(?:{'|'.join(sorted(map(re.escape, TITLES), key=len, reverse=True))})\.?) (?P<person>{_NAME}(?: {_NAME})?)"
+    rf"|(?P<behind>[\u3400-\u9fff]{{1,4}}?)(?P<honorific>{'|'.join(HONORIFICS)})"
 )
 #: What a text must hold somewhere to be searched at all (RE2).
-MAYBE = r"[0-9@]|\b(?:" + "|".join(map(re.escape, TITLES)) + r")\b|г-|Господин|Госпожа|Κυρ|Κύρ"
+MAYBE = r"[0-9@]|\b(?:" + "|".join(map(re.escape, TITLES)) + r")\b|г-|Господин|Госпожа|Κυρ|Κύρ|السيد|" + "|".join(HONORIFICS)
 
 #: Most overridden entities that are sent to every worker; beyond it they are joined to the documents.
 BROADCAST_OVERRIDES = 50_000
@@ -72,25 +80,26 @@ def luhn(digits: str) -> bool:
 
 
 def script(text: str) -> str:
+    """The script of the first letter; one without its own alphabet here counts as Latin."""
     for c in text:
         if c.isalpha():
             name = unicodedata.name(c, "")
-            return "cyrillic" if name.startswith("CYRILLIC") else "greek" if name.startswith("GREEK") else "latin"
+            return next((ours for theirs, ours in (("CYRILLIC", "cyrillic"), ("GREEK", "greek"), ("ARABIC", "arabic"), ("CJK", "han"), ("HIRAGANA", "han"), ("KATAKANA", "han")) if name.startswith(theirs)), "latin")
     return "latin"
 
 
-def find(text: str) -> Iterator[tuple[int, int, str, str]]:
-    """Mentions: begin, end, kind, canonical form; in order, none over another.
-
-    A person's name gives one mention for each of its words, ``given-m``,
-    ``given-f``, ``given-x`` or ``surname-<gender>``.
-    """
+def _patterned(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """Mentions that a pattern finds; a person's name gives one for each of its words."""
     for m in PATTERN.finditer(text):
         kind = m.lastgroup
+        if kind == "honorific":
+            yield m.start("behind"), m.end("behind"), "surname-" + HONORIFICS[m["honorific"]], m["behind"]
+            continue
         if kind == "person":
             gender = TITLES[m["title"].rstrip(".")]
+            named = lambda w: w[0].isupper() or script(w) == "arabic"
             words = list(re.finditer(_NAME, m["person"]))
-            words = [w for i, w in enumerate(words) if w[0][0].isupper() and (i == 0 or words[0][0][0].isupper())]
+            words = [w for i, w in enumerate(words) if named(w[0]) and (i == 0 or named(words[0][0]))]
             for i, w in enumerate(words):
                 at = m.start("person")
                 yield at + w.start(), at + w.end(), ("surname-" if i == len(words) - 1 else "given-") + gender, w[0].casefold()
@@ -112,6 +121,34 @@ def find(text: str) -> Iterator[tuple[int, int, str, str]]:
             yield m.start(), m.end(), kind, got.casefold() if kind == "email" else got
 
 
+def find(text: str) -> list[tuple[int, int, str, str]]:
+    """Mentions: begin, end, kind, canonical form; in order, none over another.
+
+    Kinds of names are ``given-m``, ``given-f``, ``given-x`` and ``surname-<gender>``.
+    A name that stands with a form of address somewhere is found in the whole
+    text, where it is a capitalised word of its own, and has one gender in it:
+    the one that a form of address tells.
+    """
+    found = list(_patterned(text))
+    names: dict[str, str] = {}
+    for _, _, kind, canonical in found:
+        if kind.startswith(("given-", "surname-")):
+            known = names.get(canonical, kind)
+            # a title that tells the gender counts before one that does not
+            names[canonical] = kind if known.endswith("-x") and known.split("-")[0] == kind.split("-")[0] else known
+    if not names:
+        return found
+    taken = [(a, b) for a, b, _, _ in found]
+    bare = []
+    for m in re.finditer(_NAME, text):
+        if m[0].casefold() in names and (m[0][0].isupper() or script(m[0]) == "arabic"):
+            at = bisect.bisect_right(taken, (m.start(), len(text)))
+            if (not at or taken[at - 1][1] <= m.start()) and (at == len(taken) or taken[at][0] >= m.end()):
+                bare.append((m.start(), m.end(), names[m[0].casefold()], m[0].casefold()))
+    told = [(a, b, names[c] if k.startswith("given-") and names[c].startswith("given-") else k, c) for a, b, k, c in found]
+    return sorted(told + bare)
+
+
 class Stream:
     """Numbers drawn from a keyed hash of (kind, canonical form, attempt)."""
 
@@ -145,7 +182,7 @@ def _like(text: str, s: Stream) -> str:
 
 def surrogate(kind: str, canonical: str, key: bytes, attempt: int = 0) -> str:
     """The canonical form that takes the place of ``canonical``."""
-    s = Stream(key, kind.removesuffix("-m").removesuffix("-f").removesuffix("-x") if kind.startswith("surname") else kind, canonical, attempt)
+    s = Stream(key, _pool(kind), canonical, attempt)
     if kind == "email":
         local, _, domain = canonical.partition("@")
         head = domain.rsplit(".", 2)[0] if domain.count(".") >= 2 else domain.split(".")[0]
@@ -173,15 +210,20 @@ def surrogate(kind: str, canonical: str, key: bytes, attempt: int = 0) -> str:
             alphabet = "0123456789ABCDEF" if canonical.isupper() else "0123456789abcdef"
             return "".join(alphabet[s.below(16)] for _ in canonical)
         return _like(canonical, s)
-    kind, _, gender = kind.partition("-")
     written = script(canonical)
-    if kind == "given":
-        names = GIVEN[written, gender] if gender in "mf" else GIVEN[written, "m"] + GIVEN[written, "f"]
-        # after the first attempt two names joined, and one more every two attempts: the domain never runs dry
-        return "-".join(names[s.below(len(names))] for _ in range((attempt + 3) // 2)).casefold()
+    if _pool(kind) == "given":
+        # after the first attempt two stems joined, and one more every two attempts: the domain never runs dry
+        stems = [GIVEN[written][s.below(len(GIVEN[written]))] for _ in range((attempt + 3) // 2)]
+        return "-".join(stem + GIVEN_ENDINGS[written][0] for stem in stems).casefold()
     parts = SYLLABLES[written]
-    name = "".join(parts[s.below(len(parts))] for _ in range(3 + attempt // 4))
-    return name + ("ов" if written == "cyrillic" else "")
+    few = 2 if written == "han" else 3
+    return "".join(parts[s.below(len(parts))] for _ in range(few + attempt // 4)) + SURNAME_ENDINGS[written][0]
+
+
+def _of_woman(kind: str, canonical: str) -> str:
+    """A surrogate name with the endings of a woman's."""
+    old, new = (GIVEN_ENDINGS if kind.startswith("given") else SURNAME_ENDINGS)[script(canonical)]
+    return "-".join(p[: len(p) - len(old)] + new for p in canonical.split("-"))
 
 
 def render(kind: str, mention: str, canonical: str) -> str:
@@ -197,15 +239,15 @@ def render(kind: str, mention: str, canonical: str) -> str:
     if kind == "email":
         return canonical.upper() if mention.isupper() else canonical
     if kind.startswith(("given", "surname")):
-        if kind == "surname-f" and script(canonical) == "cyrillic":
-            canonical += "а"
+        if kind.endswith("-f"):
+            canonical = _of_woman(kind, canonical)
         return canonical.upper() if mention.isupper() and len(mention) > 1 else "-".join(p.capitalize() for p in canonical.split("-"))
     return canonical
 
 
 def _pool(kind: str) -> str:
-    """Kinds among which surrogates must differ: a surname has one surrogate, whatever the title."""
-    return kind.split("-")[0] if kind.startswith("surname") else kind
+    """Kinds among which surrogates must differ: a name has one surrogate, whatever the title."""
+    return kind.split("-")[0] if kind.startswith(("given", "surname")) else kind
 
 
 def _text_key(text_col: str):
@@ -250,11 +292,18 @@ def settle(found: DataFrame, key: bytes) -> DataFrame:
 
         return run
 
+    # names that a surrogate would be with a woman's ending, as the surrogate itself is written
+    stems = F.col("canonical")
+    for given, surname in zip(GIVEN_ENDINGS.values(), SURNAME_ENDINGS.values(), strict=True):
+        for pool, (man, woman) in (("given", given), ("surname", surname)):
+            if woman:
+                stems = F.when((F.col("pool") == pool) & F.col("canonical").rlike(f"{woman}$"), F.regexp_replace("canonical", f"{woman}(?=-|$)", man)).otherwise(stems)
+    womens = found.where(F.col("pool").isin("given", "surname")).select("pool", stems.alias("made")).distinct()
     settled, left = None, found
     for n in range(MOST_ATTEMPTS):
         tried = left.select("pool", "canonical").mapInArrow(attempt(n), "pool string, canonical string, made string")
         firsts = tried.groupBy("pool", "made").agg(F.min("canonical").alias("canonical"))
-        taken = found.select("pool", F.col("canonical").alias("made"))
+        taken = found.select("pool", F.col("canonical").alias("made")).unionByName(womens)
         if settled is not None:
             taken = taken.unionByName(settled.select("pool", "made"))
         good = firsts.join(taken, ["pool", "made"], "left_anti").select("pool", "canonical", "made", F.lit(n).alias("attempt"))
@@ -306,7 +355,7 @@ def replace_pii(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: s
                         if which not in memory:
                             if len(memory) > 100_000:
                                 memory.clear()
-                            memory[which] = surrogate(_pool(kind) if kind.startswith("surname") else kind, canonical, key, which[2])
+                            memory[which] = surrogate(_pool(kind), canonical, key, which[2])
                         parts += [text[last:a], render(kind, text[a:b], memory[which])]
                         last = b
                         counts[i] += 1
