@@ -7,24 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, materialise
 
 #: Bits for each listed URL, words of 64 bits in a block, bits set for a URL, and the largest filter (in blocks) that is broadcast: 64 KB.
 BITS_PER_URL, WORDS, HASHES, BROADCAST_BLOCKS = 16, 8, 6, 1_000
 
 
+def _rest(url: Column) -> Column:
+    """What stands behind the first ``://``."""
+    at = F.instr(url, "://")
+    return F.coalesce(F.when(at > 0, F.substring(url, at + 3, F.length(url))), F.lit(""))
+
+
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """Host: behind the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lowered; path: then up to ``?``, ``#`` or the end."""
-    at = F.instr(url, "://")
-    rest = F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise(F.lit(""))
-    rest = F.coalesce(rest, F.lit(""))
+    rest = _rest(url)
     return ascii_lower(F.regexp_extract(rest, r"^[^/?#]*", 0)), F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
 def canonical_url(url: Column) -> Column:
     """``host/path?query``: no scheme, no leading ``www.`` or ``m.``, no closing ``/`` or ``.html``, no fragment, no ``utm_*`` or ``ref`` parameter."""
     host, path = host_and_path(url)
-    query = F.coalesce(F.regexp_extract(url, r"://[^?#]*\?([^#]*)", 1), F.lit(""))
+    query = F.regexp_extract(_rest(url), r"^[^?#]*\?([^#]*)", 1)
     kept = F.regexp_replace(F.regexp_replace(query, r"(^|&)(utm_[^&=]*|ref)(=[^&]*)?(?=&|$)", ""), r"^&+", "")
     return F.concat(F.regexp_replace(host, r"^(www|m)\.", ""), F.regexp_replace(path, r"(/|\.html)$", ""), F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(F.lit("")))
 
@@ -65,7 +69,7 @@ def url_verdicts(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str,
     reads one block.  A filter of up to ``BROADCAST_BLOCKS`` blocks is broadcast,
     a larger one is joined by shuffle, distinct canonical URLs against blocks.
     """
-    listed = listed.select(F.col(key_col).alias("canonical")).where(F.col("canonical").isNotNull()).distinct()
+    listed = materialise(listed.select(F.col(key_col).alias("canonical")).where(F.col("canonical").isNotNull()).distinct(), "url-listed")
     n = listed.count()
     blocks = max(1, -(-n * BITS_PER_URL // (64 * WORDS)))
     bloom = bloom_blocks(listed, "canonical", blocks)
