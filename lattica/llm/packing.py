@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from . import kk
 from .common import arrow_rows
 
-#: Bytes of text tokenised at once; words that a worker remembers; windows that fill a block.
-CHUNK_BYTES, CACHE_WORDS, BLOCK_WINDOWS = 3_000_000, 350_000, 128
+#: Bytes of text tokenised at once; words that a worker remembers; windows, and pieces, that fill a block.
+CHUNK_BYTES, CACHE_WORDS, BLOCK_WINDOWS, BLOCK_PIECES = 3_000_000, 350_000, 128, 16_384
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -136,7 +136,7 @@ class Packer:
             self.pieces.append((doc_id, at, n, zlib.crc32(ids[at : at + n]), total))
             self.ids += n
             at += n
-        if self.ids >= BLOCK_WINDOWS * self.capacity:
+        if self.ids >= BLOCK_WINDOWS * self.capacity or len(self.pieces) >= BLOCK_PIECES:
             self.flush()
 
     def flush(self) -> None:
