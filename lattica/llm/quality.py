@@ -4,7 +4,8 @@ A logistic model of the text gives each document's evidence.  Hosts and paths
 have beta posteriors of the share of good documents: each level is shrunk
 towards the one above with a strength estimated by moments over all of that
 level, so that sparse sites stay near the global prior.  A document's posterior
-odds are its evidence with the global prior odds taken out and its path's put in.
+odds are its evidence with the global prior odds taken out and its path's put in;
+the path's posterior leaves the document itself out, so that its evidence counts once.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import discard, materialise
 
 #: Most labelled rows that fit the text model; most sites whose posteriors are broadcast.
 FIT_ROWS, BROADCAST_SITES = 20_000, 20_000
@@ -93,8 +94,8 @@ def _strength(level: DataFrame, prior: Column, n: str, s: str) -> float:
 class QualityModel:
     """A fitted text model with the corpus's host and path posteriors."""
 
-    def __init__(self, weights: np.ndarray, prior: float, sites: DataFrame):
-        self.weights, self.prior, self.sites = weights, prior, sites
+    def __init__(self, weights: np.ndarray, prior: float, sites: DataFrame, k_host: float, k_path: float):
+        self.weights, self.prior, self.sites, self.k_host, self.k_path = weights, prior, sites, k_host, k_path
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang", label_col: str = "quality") -> QualityModel:
@@ -107,7 +108,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     rows = docs.select(F.col(id_col).alias("id"), F.col(host_col).cast("string").alias("host"), F.col(path_col).cast("string").alias("path"), *features(F.col(text_col)))
     rows = materialise(rows, "quality-features")
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where(F.col("label").isin(0, 1)).groupBy("id").agg(F.max("label").alias("label"))
-    sample = rows.join(known, "id").orderBy(F.xxhash64("id", F.lit(11))).limit(FIT_ROWS).select(*NAMES, "label").collect()
+    labelled = materialise(rows.join(known, "id").select("id", *NAMES, "label"), "quality-labelled")
+    # a share by hash first, so that no task sends more than its part of the bound
+    share = min(1.0, FIT_ROWS / max(labelled.count(), 1))
+    sample = labelled.where(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 20)) <= int(share * (1 << 20))).limit(FIT_ROWS).select(*NAMES, "label").collect()
+    discard(labelled)
     y = np.array([r["label"] for r in sample], float)
     if len(set(y.tolist())) == 2:
         weights = fit(np.array([[r[n] for n in NAMES] for r in sample]), y)
@@ -124,43 +129,52 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     mean = min(max(whole["s"] / whole["n"], 0.01), 0.99) if whole["n"] else prior
     k_host = _strength(hosts, F.lit(mean), "host_n", "host_s")
     hosts = hosts.withColumn("host_mean", (k_host * mean + F.col("host_s")) / (k_host + F.col("host_n")))
-    joined = sites.alias("a").join(hosts.alias("b"), F.col("a.host").eqNullSafe(F.col("b.host"))).select("a.host", "path", "n", "s", "host_n", "host_mean")
+    joined = sites.alias("a").join(hosts.alias("b"), F.col("a.host").eqNullSafe(F.col("b.host"))).select("a.host", "path", "n", "s", "host_n", "host_s", "host_mean")
     joined = materialise(joined, "quality-hosts")
     k_path = _strength(joined, F.col("host_mean"), "n", "s")
     joined = joined.withColumn("site_mean", (k_path * F.col("host_mean") + F.col("s")) / (k_path + F.col("n")))
-    return QualityModel(weights, mean, materialise(joined.select("host", "path", "host_mean", "site_mean"), "quality-posteriors"))
+    posteriors = materialise(joined.select("host", "path", "n", "s", "host_n", "host_s", "host_mean", "site_mean"), "quality-posteriors")
+    discard(rows, sites)
+    return QualityModel(weights, mean, posteriors, k_host, k_path)
 
 
-def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text", host_col: str = "source", path_col: str = "lang") -> DataFrame:
+def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text", host_col: str = "source", path_col: str = "lang", own: bool = False) -> DataFrame:
     """``docs`` with ``quality_evidence`` (of the text), ``quality_site`` (its path's posterior) and ``quality_score``.
 
+    ``own``: the rows are those that the sites were summed over, and each is left
+    out of its own site.  Columns of these three names are replaced; others stay,
+    whatever their names.
+
     The posteriors are broadcast while there are at most ``BROADCAST_SITES``
     sites and joined by shuffle beyond it.  Every row stays; a site that the
     model does not know has the global prior; a null text is an empty one.
     """
-    sites = model.sites.select(F.col("host").alias("__host"), F.col("path").alias("__path"), F.col("site_mean").alias("quality_site"))
+    sums = ["n", "s", "host_n", "host_s"]
+    sites = model.sites.select(F.struct("host", "path").alias("of"), F.struct(*sums).alias("site"))
     if sites.count() <= BROADCAST_SITES:
         sites = F.broadcast(sites)
     columns = [c for c in docs.columns if c not in ("quality_evidence", "quality_site", "quality_score")]
-    rows = docs.select(*columns)
-    got = rows.select(*[rows[c] for c in columns], F.struct(*features(rows[text_col])).alias("__x"))
-    got = got.join(sites, got[host_col].cast("string").eqNullSafe(F.col("__host")) & got[path_col].cast("string").eqNullSafe(F.col("__path")), "left")
-    logit = _logit(model.weights, "__x.")
+    at = F.struct(F.col(host_col).cast("string").alias("host"), F.col(path_col).cast("string").alias("path"))
+    got = docs.select(F.struct(*columns).alias("row"), F.struct(*features(F.col(text_col))).alias("x"), at.alias("at"))
+    got = got.join(sites, F.col("at").eqNullSafe(F.col("of")), "left").withColumn("logit", _logit(model.weights, "x."))
+    evidence = 1 / (1 + F.exp(-F.col("logit")))
+    n, s, host_n, host_s = (F.coalesce(F.col("site")[c], F.lit(0)) - (1 if c.endswith("n") else evidence) * F.when(F.col("site").isNotNull() & F.lit(own), 1).otherwise(0) for c in sums)
+    host = (model.k_host * model.prior + host_s) / (model.k_host + host_n)
+    site = F.least(F.lit(0.999), F.greatest(F.lit(0.001), (model.k_path * host + s) / (model.k_path + n)))
     prior = float(np.log(model.prior / (1 - model.prior)))
-    site = F.least(F.lit(0.999), F.greatest(F.lit(0.001), F.coalesce("quality_site", F.lit(model.prior))))
     return got.select(
-        *[got[c] for c in columns],
-        (1 / (1 + F.exp(-logit))).alias("quality_evidence"),
+        *[F.col("row")[c].alias(c) for c in columns],
+        evidence.alias("quality_evidence"),
         site.alias("quality_site"),
-        (1 / (1 + F.exp(-(logit - F.lit(prior) + F.log(site / (1 - site)))))).alias("quality_score"),
+        (1 / (1 + F.exp(-(F.col("logit") - F.lit(prior) + F.log(site / (1 - site)))))).alias("quality_score"),
     )
 
 
 def classify_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **names) -> DataFrame:
-    """``docs`` with its scores and ``keep``: whether the posterior reaches ``threshold``.
+    """``docs`` with its scores and ``keep``: whether the posterior reaches ``threshold``; such a column of ``docs`` is replaced.
 
-    No rows in: no rows out.  See ``fit_quality`` for nulls and missing labels.
+    Repeated rows are rows of their own.  No rows in: no rows out.  See ``fit_quality`` for nulls and missing labels.
     """
     model = fit_quality(docs, labels, **names)
     named = {k: v for k, v in names.items() if k in ("text_col", "host_col", "path_col")}
-    return score_quality(docs, model, **named).withColumn("keep", F.col("quality_score") >= threshold)
+    return score_quality(docs, model, own=True, **named).withColumn("keep", F.col("quality_score") >= threshold)
