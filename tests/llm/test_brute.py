@@ -193,6 +193,21 @@ def test_quality_held_out(spark, sf):
     assert scored[scored.quality == 1].keep.mean() > 0.98
 
 
+def test_quality_query(spark, sf, documents):
+    """The registered query's posteriors against sums in plain Python that leave each document out."""
+    got = QUERIES["op5_quality"](spark, sf).toPandas()
+    model = quality.fit_quality(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+    assert sorted(got.doc_id) == sorted(documents.doc_id)
+    rows = got.merge(documents[["doc_id", "source", "lang"]].rename(columns={"source": "host", "lang": "path"}), on="doc_id")
+    for r in rows.itertuples():
+        of_host, of_path = rows[rows.host == r.host], rows[(rows.host == r.host) & (rows.path == r.path)]
+        host = (model.k_host * model.prior + of_host.quality_evidence.sum() - r.quality_evidence) / (model.k_host + len(of_host) - 1)
+        site = min(0.999, max(0.001, (model.k_path * host + of_path.quality_evidence.sum() - r.quality_evidence) / (model.k_path + len(of_path) - 1)))
+        assert abs(site - r.quality_site) < 1e-9
+        odds = r.quality_evidence / (1 - r.quality_evidence) * (1 - model.prior) / model.prior * site / (1 - site)
+        assert abs(odds / (1 + odds) - r.quality_score) < 1e-6 and r.keep == (r.quality_score >= 0.5)
+
+
 def test_quality_shrinks_sparse_sites(spark):
     rows = [(i, "good words " * 20 if i % 20 else "BAD!!! ### " * 20, f"s{i % 2}", "en") for i in range(400)] + [(1000, "BAD!!! ### " * 20, "tiny", "en")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")

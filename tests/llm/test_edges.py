@@ -55,6 +55,41 @@ def test_sharding(docs, empty):
     assert sharding.karmarkar_karp_shards(empty).count() == 0
 
 
+def test_sharding_in_a_tree_with_hot_texts(spark, monkeypatch):
+    """Blocks of blocks, and texts that many rows share: bytes stay even, equal texts together; sizes and checksums against the library."""
+    import zlib
+
+    monkeypatch.setattr(sharding, "BLOCK_GROUPS", 30)
+    monkeypatch.setattr(sharding, "MOST_BLOCKS", 3)
+    monkeypatch.setattr(sharding, "HOT_ROWS", 20)
+    texts = ["é" * (i % 60) + str(i) for i in range(900)] + ["hot"] * 40 + [None] * 25
+    rows = sharding.karmarkar_karp_shards(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), shards=4).collect()
+    loads, of = collections.Counter(), collections.defaultdict(set)
+    for r in rows:
+        data = (texts[r["doc_id"]] or "").encode()
+        assert r["size"] == len(data) + 8 and r["text_crc32"] == zlib.crc32(data)
+        loads[r["shard"]] += r["size"]
+        of[texts[r["doc_id"]]].add(r["shard"])
+    assert len(rows) == len(texts) and all(len(s) == 1 for s in of.values()) and max(loads.values()) - min(loads.values()) <= 60
+    for shard in loads:
+        assert sorted(r["slot"] for r in rows if r["shard"] == shard) == list(range(sum(r["shard"] == shard for r in rows)))
+
+
+def test_packing_of_many_empty_texts(monkeypatch):
+    """Pieces of one id fill blocks by their number, so that no large matrix is made of them."""
+    import numpy as np
+
+    packer = packing.Packer(2048, 512, 0)
+    for i in range(40_000):
+        packer.add(i, np.ones(1, np.uint32))
+        assert len(packer.pieces) < packing.BLOCK_PIECES
+    packer.flush()
+    loads = collections.Counter()
+    for r in packer.out:
+        loads[r[5]] += r[2]
+    assert sum(loads.values()) == 40_000 and max(loads.values()) <= 2048 and len(loads) <= 22
+
+
 def test_pii(docs, empty):
     got = pii.replace_pii(docs, b"k", count_col="node")
     rows = got.collect()
@@ -107,11 +142,11 @@ def test_quality(docs, empty, spark):
 
 
 def test_url_filters(spark):
-    pages = spark.createDataFrame([(1, "http://WWW.X.com/a?utm_s=1#f", "p"), (2, None, "p"), (3, "nonsense", "p"), (4, "ftp://x.com/a/", "p"), (4, "ftp://x.com/a/", "p"), (5, "http://y.org", "p"), (None, "http://", None)], "page_id long, url string, path string")
+    pages = spark.createDataFrame([(1, "http://WWW.X.com/a?utm_s=1#f", "p"), (2, None, "p"), (3, "nonsense", "p"), (4, "ftp://x.com/a/", "p"), (4, "ftp://x.com/a/", "p"), (5, "http://y.org", "p"), (6, "http://x.com/a#y://z?q", "p"), (7, "http://x.com/a?q#y://z", "p"), (None, "http://", None)], "page_id long, url string, path string")
     listed = spark.createDataFrame([("x.com/a",), ("x.com/a",), (None,)], "canonical string")
     rows = url_filter.url_verdicts(pages, listed, [("allow", "y.org", "")]).collect()
     assert sorted((r["page_id"] or 0, r["host"], r["path"], r["rule"] or "", r["verdict"]) for r in rows) == [
-        (0, "", "", "", "allow"), (1, "www.x.com", "/a", "", "block"), (2, "", "", "", "allow"), (3, "", "", "", "allow"), (4, "x.com", "/a/", "", "block"), (4, "x.com", "/a/", "", "block"), (5, "y.org", "", "y.org", "allow")]
+        (0, "", "", "", "allow"), (1, "www.x.com", "/a", "", "block"), (2, "", "", "", "allow"), (3, "", "", "", "allow"), (4, "x.com", "/a/", "", "block"), (4, "x.com", "/a/", "", "block"), (5, "y.org", "", "y.org", "allow"), (6, "x.com", "/a", "", "block"), (7, "x.com", "/a", "", "allow")]
     assert url_filter.url_verdicts(pages.limit(0), listed.limit(0), []).count() == 0
 
 
