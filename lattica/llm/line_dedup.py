@@ -8,8 +8,8 @@ similarity.  A line that an earlier line matches is removed.
 Lines with the same tokens are one set, held by its first line.  Sets meet under
 the tokens of their prefixes.  A token in the prefixes of many sets is taken
 together with a second token of a prefix longer by one: sets that are alike have
-two tokens of those in common.  Under a key each set meets the key's first set;
-only a set that none of these removes meets all earlier ones.
+two tokens of those in common.  Under a key each set meets the key's first set
+and the few just before it; only a set that none of these removes meets all earlier ones.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from .common import discard, materialise
 BUCKET_BITS = 20
 #: A token of this frequency class or above (seen more than 1,024 times) is taken together with a second one.
 MANY_CLASS = 11
+#: Sets just before it under a key that a set is compared with at once.
+BEFORE = 3
 #: Documents and lines in a list that is broadcast, beyond which it is joined by shuffle.
 BROADCAST_IDS, BROADCAST_LINES = 500_000, 4_000_000
 #: Words stand between white space, whatever its kind (that of Python's ``str.split``).
@@ -144,10 +146,13 @@ def line_dedup(docs: DataFrame, num: int = 4, den: int = 5, id_col: str = "doc_i
         discard(places, whole)
         return found
 
-    # under each key every set meets the first one
-    star = posts.select("key", F.struct("doc", "place", "n", "parity", "at").alias("x")).withColumn("hub", F.min("x").over(Window.partitionBy("key")))
-    star = star.where(may("x", "hub") & F.expr("x.doc <> hub.doc or x.place <> hub.place"))
-    star = materialise(star.select(*pair("x", "hub")).distinct(), "line-star")
+    # under each key every set meets the first one and those just before it
+    inorder = Window.partitionBy("key").orderBy("x.doc", "x.place")
+    star = posts.select("key", F.struct("doc", "place", "n", "parity", "at").alias("x"))
+    star = star.select("x", F.first("x").over(inorder).alias("y0"), *[F.lag("x", k).over(inorder).alias(f"y{k}") for k in range(1, BEFORE + 1)]).where("y1 is not null")
+    met = [F.when(may("x", f"y{k}"), F.expr(f"struct(y{k}.doc, y{k}.place)")) for k in range(BEFORE + 1)]
+    star = star.select(F.expr("struct(x.doc, x.place)").alias("later"), F.explode(F.array_compact(F.array(*met))).alias("earlier"))
+    star = materialise(star.select("earlier", "later").distinct(), "line-star")
     gone = matched(star)
     # what that leaves meets every earlier set
     few = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
