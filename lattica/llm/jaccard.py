@@ -9,9 +9,8 @@ nodes, then of points; surviving pairs are verified on the shingle sets.
 
 One document of a tile is compared with all others first.  Only tiles whose
 members are not in one component after that are joined in full by R-trees, in
-pairs of chunks of bounded size: once over the points, which leaves the members
-that may link, then with their sets at hand.  A task verifies the pairs that the
-trees leave and gives back at most one link a member.
+pairs of chunks of bounded size.  There a parity sketch bounds the difference of
+two sets from below, as the points bound their overlap from above.
 """
 
 from __future__ import annotations
@@ -28,10 +27,10 @@ from .graph import components
 from .packing import chunks
 from .shingles import mix, shingle_sets
 
-#: Coordinates of a point; points of an R-tree leaf; members of a tile, and their shingles, in one chunk; candidates whose ids are broadcast.
-GROUPS, LEAF, CHUNK, CHUNK_SHINGLES, BROADCAST_IDS = 64, 16, 1_000, 1_000_000, 500_000
-#: Members, and shingles, of the small tiles that one call joins.
-CALL_MEMBERS, CALL_SHINGLES = 4_000, 4_000_000
+#: Coordinates of a point; bits of a sketch; points of an R-tree leaf; members of a tile in one chunk; candidates whose ids are broadcast.
+GROUPS, SKETCH, LEAF, CHUNK, BROADCAST_IDS = 64, 4_096, 16, 1_000, 500_000
+#: Members of the small tiles that one call joins.
+CALL_MEMBERS = 4_000
 
 
 class Bands:
@@ -123,6 +122,12 @@ def points(sets: list[np.ndarray]) -> list[np.ndarray]:
     return [np.bincount((mix(s + np.uint64(77)) % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.int32) for s in sets]
 
 
+def sketches(sets: list[np.ndarray]) -> list[bytes]:
+    """Parities of the elements at each of ``SKETCH`` places: two sets differ in no fewer elements than their sketches in bits."""
+    counts = (np.bincount((mix(s + np.uint64(0xA5A5)) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) for s in sets)
+    return [np.packbits((c & 1).astype(np.uint8)).tobytes() for c in counts]
+
+
 def _longs(arrays: list[np.ndarray]) -> pa.Array:
     ends = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*arrays, np.zeros(0, np.uint64)]).view(np.int64)))
@@ -151,51 +156,23 @@ def tree_join(a: np.ndarray, b: np.ndarray, num: int, den: int):
             yield from zip(leaf[x].tolist(), other[y].tolist(), strict=True)
 
 
-def _chunk_pairs(pdf: pd.DataFrame):
-    """The pairs of chunks in ``pdf``, each as two tables of members: of its first chunk and of its second."""
+def join_chunks(pdf: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
+    """a, b: once for each call, the pairs of members of different labels that may link."""
+    out = set()
     for _, one in pdf.sort_values(["tile", "c", "d", "node"]).groupby(["tile", "c", "d"], sort=False):
         left, right = one[one["part"] == one["c"]], one[one["part"] == one["d"]]
-        if len(left) and len(right):
-            yield left, right
-
-
-def _candidates(left: pd.DataFrame, right: pd.DataFrame, num: int, den: int):
-    """Index pairs of members of different labels that the trees leave."""
-    x, y = left["label"].to_numpy(), right["label"].to_numpy()
-    pairs = tree_join(np.stack(left["point"].to_numpy()), np.stack(right["point"].to_numpy()), num, den)
-    return ((i, j) for i, j in pairs if x[i] != y[j])
-
-
-def may_link(pdf: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
-    """tile, c, d, node: the members that the points of some member of another label leave."""
-    out = []
-    for left, right in _chunk_pairs(pdf):
-        a, b = left["node"].to_numpy(), right["node"].to_numpy()
-        alive = {n for i, j in _candidates(left, right, num, den) for n in (a[i], b[j])}
-        out += [(*left[["tile", "c", "d"]].iloc[0], n) for n in alive]
-    return pd.DataFrame(out, columns=["tile", "c", "d", "node"]).astype({"tile": "int64", "c": "int32", "d": "int32", "node": "int64"})
-
-
-def spanning_links(pdf: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
-    """a, b: verified links that join what the labels leave apart; pairs that links already join are not looked at."""
-    out = []
-    for left, right in _chunk_pairs(pdf):
-        a, b = left["node"].to_numpy(), right["node"].to_numpy()
-        x, y = left["label"].to_numpy(), right["label"].to_numpy()
-        sets, others = left["shingles"].to_numpy(), right["shingles"].to_numpy()
-        parent: dict[int, int] = {}
-
-        def root(v: int, parent=parent) -> int:
-            while v in parent:
-                v = parent[v]
-            return v
-
-        for i, j in _candidates(left, right, num, den):
-            u, v = root(x[i]), root(y[j])
-            if u != v and len(np.intersect1d(sets[i], others[j], assume_unique=True)) * (num + den) >= (len(sets[i]) + len(others[j])) * num:
-                parent[max(u, v)] = min(u, v)
-                out.append((min(a[i], b[j]), max(a[i], b[j])))
-    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+        if not len(left) or not len(right):
+            continue
+        pairs = np.array(list(tree_join(np.stack(left["point"].to_numpy()), np.stack(right["point"].to_numpy()), num, den)), np.int64).reshape(-1, 2)
+        pairs = pairs[left["label"].to_numpy()[pairs[:, 0]] != right["label"].to_numpy()[pairs[:, 1]]]
+        x, y = (np.frombuffer(b"".join(side["sketch"]), np.uint64).reshape(len(side), -1) for side in (left, right))
+        for some in np.array_split(pairs, 1 + len(pairs) // 10_000):
+            i, j = some[:, 0], some[:, 1]
+            apart = np.bitwise_count(x[i] ^ y[j]).sum(1, dtype=np.int64)
+            may = apart * (num + den) <= (left["n"].to_numpy()[i] + right["n"].to_numpy()[j]) * (den - num)
+            a, b = left["node"].to_numpy()[i[may]], right["node"].to_numpy()[j[may]]
+            out.update(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True))
+    return pd.DataFrame(sorted(out), columns=["a", "b"]).astype("int64")
 
 
 def similarity_components(docs: DataFrame, num: int = 90, den: int = 100, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -253,9 +230,9 @@ def similarity_components(docs: DataFrame, num: int = 90, den: int = 100, words:
                 sets = shingle_sets(part, words)
                 keep = [i for i, s in enumerate(sets) if xxhash.xxh3_128_digest(s.tobytes()) == keys[i]]
                 sets = [sets[i] for i in keep]
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(keep, pa.int64())), pa.array([p.tolist() for p in points(sets)], pa.list_(pa.int32())), _longs(sets)], ["node", "point", "shingles"])
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(keep, pa.int64())), pa.array([p.tolist() for p in points(sets)], pa.list_(pa.int32())), pa.array(sketches(sets), pa.binary()), _longs(sets)], ["node", "point", "sketch", "shingles"])
 
-    details = materialise(picked.mapInArrow(detail, "node long, point array<int>, shingles array<long>"), "jaccard-details")
+    details = materialise(picked.mapInArrow(detail, "node long, point array<int>, sketch binary, shingles array<long>"), "jaccard-details")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs that link: the bound by minima first, then the sets."""
@@ -293,23 +270,11 @@ def similarity_components(docs: DataFrame, num: int = 90, den: int = 100, words:
         links = links.unionByName(verified(again))
         told = unresolved(components(links))
         # what is still apart is joined in full: a chunk meets every chunk, itself included, as (smaller, larger)
-        told = told.select("tile", "node", "label", "members").join(details.select("node", "point", F.size("shingles").alias("n")), "node")
-        load = told.groupBy("tile").agg(F.greatest(F.ceil(F.max("members") / CHUNK), F.ceil(F.sum("n") / CHUNK_SHINGLES)).cast("int").alias("parts"))
-        met = told.join(load, "tile").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-        met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        met = met.select("tile", F.least("part", "other").alias("c"), F.greatest("part", "other").alias("d"), "part", "node", "label", "n", "point")
-
-        def calls(rows: DataFrame, most: int, size) -> DataFrame:
-            """``rows`` with the number of the call that joins their tile and chunks."""
-            total = rows.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-            return rows.withColumn("call", F.pmod(F.xxhash64("tile", "c", "d"), F.lit(max(1, -(-total // most)))))
-
-        alive = calls(met, CALL_MEMBERS, F.lit(1)).groupBy("call").applyInPandas(lambda pdf: may_link(pdf, num, den), "tile long, c int, d int, node long")
-        alive = materialise(alive, "jaccard-alive")
-        met = materialise(met.join(alive, ["tile", "c", "d", "node"], "left_semi"), "jaccard-met")
-        sized = calls(met, CALL_SHINGLES, F.col("n")).join(details.select("node", "shingles"), "node")
-        links = links.unionByName(materialise(sized.groupBy("call").applyInPandas(lambda pdf: spanning_links(pdf, num, den), "a long, b long"), "jaccard-links"))
-        discard(alive, met)
+        told = told.withColumn("parts", F.ceil(F.col("members") / CHUNK).cast("int")).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        met = told.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("tile", F.least("part", "other").alias("c"), F.greatest("part", "other").alias("d"), "part", "node", "label")
+        met = met.join(details.select("node", F.size("shingles").alias("n"), "point", "sketch"), "node")
+        calls = F.pmod(F.xxhash64("tile", "c", "d"), F.lit(max(1, -(-told.count() // CALL_MEMBERS)))).alias("call")
+        links = links.unionByName(verified(met.groupBy(calls).applyInPandas(lambda pdf: join_chunks(pdf, num, den), "a long, b long")))
         labels = components(links)
     discard(tiles, wanted, details)
     labels = labels.withColumnRenamed("id", "node")

@@ -82,6 +82,8 @@ def test_linked_sets_share_a_tile(size, changes, seed):
         assert len(np.intersect1d(x, y))
         p, q = jaccard.points([a, b])
         assert list(jaccard.tree_join(p[None], q[None], 90, 100)) == [(0, 0)]
+        x, y = (np.frombuffer(s, np.uint64) for s in jaccard.sketches([a, b]))
+        assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
 
 
 def word_matches(lines):
