@@ -101,12 +101,15 @@ def set_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.exceptAll(b).withColumn("only_in", F.lit("left")).unionByName(b.exceptAll(a).withColumn("only_in", F.lit("right")))
 
 
-def drift(left: DataFrame, right: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Keys of a full join whose columns differ (null-safe), with the names of those that do."""
-    r = right.select(F.col(key).alias("__k"), *[F.col(c).alias(f"__{c}") for c in columns])
-    j = left.select(key, *columns).join(r, F.col(key) == F.col("__k"), "full")
-    reasons = F.array_compact(F.array(F.when(F.col(key).isNull(), "only_right"), F.when(F.col("__k").isNull(), "only_left"), *[F.when(F.col(key).isNotNull() & F.col("__k").isNotNull() & ~F.col(c).eqNullSafe(F.col(f"__{c}")), c) for c in columns]))
-    return j.select(F.coalesce(key, "__k").alias(key), F.array_join(reasons, "+").alias("drift")).where("drift <> ''")
+def drift(left: DataFrame, right: DataFrame, key: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Keys of a full join whose columns differ (null-safe), with the names of those that do; a key may have several columns."""
+    keys = [key] if isinstance(key, str) else list(key)
+    a = left.select(*keys, *columns, F.lit(True).alias("__left"))
+    b = right.select(*[F.col(c).alias(f"__{c}") for c in (*keys, *columns)], F.lit(True).alias("__right"))
+    on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    both = F.col("__left") & F.col("__right")
+    reasons = F.array_compact(F.array(F.when(F.col("__left").isNull(), "only_right"), F.when(F.col("__right").isNull(), "only_left"), *[F.when(both & ~F.col(c).eqNullSafe(F.col(f"__{c}")), c) for c in columns]))
+    return a.join(b, on, "full").select(*[F.coalesce(k, f"__{k}").alias(k) for k in keys], F.array_join(reasons, "+").alias("drift")).where("drift <> ''")
 
 
 def control_totals(children: DataFrame, parents: DataFrame, parent_key: str, value: str, total: str) -> DataFrame:
