@@ -279,7 +279,9 @@ def test_differencing_places_every_item(weights, k):
     assert list(loads) == sorted(loads, reverse=True)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [graph.FEW_EDGES, 0])
+def test_components(spark, monkeypatch, few):
+    monkeypatch.setattr(graph, "FEW_EDGES", few)
     rng = np.random.default_rng(3)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (160, 2))] + [(i, i + 1) for i in range(400, 460)]
     got = {r["id"]: r["label"] for r in graph.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
