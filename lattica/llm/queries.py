@@ -91,6 +91,12 @@ def op10_jaccard(spark, sf_dir):
     return similarity_components(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark, sf_dir):
+    from .collocations import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_segmentation": op2_segmentation,
@@ -102,6 +108,7 @@ QUERIES = {
     "op8_ann": op8_ann,
     "op9_media": op9_media,
     "op10_jaccard": op10_jaccard,
+    "op11_collocations": op11_collocations,
 }
 
 SQL = {
@@ -136,5 +143,42 @@ SELECT page_id, host, path, rule,
   coalesce(verdict, CASE WHEN canonical IN (SELECT canonical FROM feed) THEN 'block' ELSE 'allow' END) AS verdict,
   verdict IS NULL AND canonical IN (SELECT canonical FROM feed) AS listed
 FROM ruled
+""",
+    "op11_collocations": r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), pieces AS (
+  SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d
+), words AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+), starts AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+), phrases AS (
+  SELECT lang, w[i] AS phrase, 1 AS size FROM starts
+  UNION ALL SELECT lang, w[i] || ' ' || w[i + 1], 2 FROM starts WHERE i + 1 <= len(w)
+  UNION ALL SELECT lang, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2], 3 FROM starts WHERE i + 2 <= len(w)
+), f AS (
+  SELECT lang, phrase, size, count(*) AS f FROM phrases GROUP BY ALL
+), totals AS (
+  SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 10
+), cuts AS (
+  SELECT lang, phrase, a, 1 AS k, w[1] AS x, array_to_string(w[2:], ' ') AS y FROM candidates
+  UNION ALL SELECT lang, phrase, a, 2, w[1] || ' ' || w[2], w[3] FROM candidates WHERE size = 3
+), cut_scores AS (
+  SELECT c.lang, c.phrase, c.a, k, p.f AS l, q.f AS r, (1000000::HUGEINT * c.a * c.a) // (p.f::HUGEINT * q.f) AS score
+  FROM cuts c JOIN f p ON p.lang = c.lang AND p.phrase = c.x JOIN f q ON q.lang = c.lang AND q.phrase = c.y
+), lowest AS (
+  SELECT * FROM cut_scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), covered AS (
+  SELECT lang, part AS phrase, max(a) AS longer
+  FROM (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS part FROM candidates WHERE size = 3) GROUP BY ALL
+), ranked AS (
+  SELECT l.lang, row_number() OVER (PARTITION BY l.lang ORDER BY l.score DESC, l.a DESC, l.phrase) AS rank, l.phrase, l.a, l.l, l.r, t.n, l.score::BIGINT AS score
+  FROM lowest l JOIN totals t ON t.lang = l.lang LEFT JOIN covered c ON c.lang = l.lang AND c.phrase = l.phrase
+  WHERE c.longer IS NULL OR 100 * c.longer < 50 * l.a
+)
+SELECT * FROM ranked WHERE rank <= 2000
 """,
 }
