@@ -97,6 +97,12 @@ def op11_collocations(spark, sf_dir):
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_filter_audit(spark, sf_dir):
+    from .audit import filter_audit
+
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_segmentation": op2_segmentation,
@@ -109,6 +115,7 @@ QUERIES = {
     "op9_media": op9_media,
     "op10_jaccard": op10_jaccard,
     "op11_collocations": op11_collocations,
+    "op12_filter_audit": op12_filter_audit,
 }
 
 SQL = {
@@ -180,5 +187,39 @@ WITH d AS (
   WHERE c.longer IS NULL OR 100 * c.longer < 50 * l.a
 )
 SELECT * FROM ranked WHERE rank <= 2000
+""",
+    "op12_filter_audit": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), marks AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), failed AS (
+  SELECT d.doc_id, part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    CASE WHEN len(w) < 100 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+  FROM d LEFT JOIN marks USING (doc_id)
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+  SELECT a.x || b.x || c.x || e.x || f.x AS filter_order
+  FROM letters a JOIN letters b ON b.x <> a.x JOIN letters c ON c.x NOT IN (a.x, b.x) JOIN letters e ON e.x NOT IN (a.x, b.x, c.x) JOIN letters f ON f.x NOT IN (a.x, b.x, c.x, e.x)
+), steps AS (
+  SELECT filter_order, s::INT AS step, substr(filter_order, s, 1) AS own, substr(filter_order, 1, s - 1) AS before FROM orders, range(1, 6) AS r(s)
+), seen AS (
+  SELECT part, filter_order, step, own, good, toxic, fails = own AS lone, contains(fails, own) AS hit, translate(fails, before, '') <> fails AS gone FROM failed, steps
+), told AS (
+  SELECT part, filter_order, step, own,
+    count(*) FILTER (NOT hit AND NOT gone) AS kept, count(*) FILTER (hit AND NOT gone) AS removed, count(*) FILTER (hit AND gone) AS redundant,
+    count(*) FILTER (lone) AS unique_fails, count(*) FILTER (hit AND NOT gone AND good) AS good_lost, count(*) FILTER (hit AND NOT gone AND toxic) AS toxic_lost
+  FROM seen GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM told
 """,
 }
