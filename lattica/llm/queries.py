@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import shared_dir, table
 
 #: The judged rules.
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -103,6 +103,17 @@ def op12_filter_audit(spark, sf_dir):
     return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_token_counts(spark, sf_dir):
+    import zlib
+
+    import public_tokenizers
+
+    from .token_cache import token_counts
+
+    folder = f"{shared_dir(spark)}/token-counts-{zlib.crc32(sf_dir.encode()):08x}"
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), folder)
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_segmentation": op2_segmentation,
@@ -116,6 +127,7 @@ QUERIES = {
     "op10_jaccard": op10_jaccard,
     "op11_collocations": op11_collocations,
     "op12_filter_audit": op12_filter_audit,
+    "op13_token_counts": op13_token_counts,
 }
 
 SQL = {
