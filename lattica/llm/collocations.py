@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 from .common import arrow_rows, discard, materialise
 
 #: Bytes of text whose alike pointers become one; occurrences that one task grows; most prefixes that are named to the tasks.
-BLOCK, LARGE, MOST_LARGE = 32 << 20, 1_000_000, 1_000_000
+BLOCK, LARGE, MOST_LARGE = 12 << 20, 500_000, 1_000_000
 #: Parts of a language that find their own best phrases before all of it does.
 PARTS = 16
 
@@ -89,15 +89,16 @@ def _pointers(raw: bytes, words: int, chosen: pa.Array, named: bool) -> tuple[pa
     Prefixes are those of ``chosen`` if ``named``, else all others.
     """
     found, piece = tokens(raw, TEXT)
-    coded = found.dictionary_encode()
-    code, names = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+    coded, piece = found.dictionary_encode(), piece.astype(np.int32)
+    code, names = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+    del found, coded
     at = np.flatnonzero(pc.is_in(names, value_set=chosen).to_numpy(zero_copy_only=False)[code] == named) if len(code) else np.zeros(0, np.int64)
     columns, key, wide = [], code[at], np.int64(1)
     for ahead in range(words):
         there = np.minimum(at + ahead, max(len(code) - 1, 0))
         same = (at + ahead < len(code)) & (piece[there] == piece[at])
-        columns.append(np.where(same, code[there], -1))
-    key = columns[-1] + 1
+        columns.append(np.where(same, code[there], np.int32(-1)))
+    key = columns[-1].astype(np.int64) + 1
     for column in columns[-2::-1]:
         wide = np.int64(key.max(initial=0) + 1)
         key = np.unique((column + 1) * wide + key, return_inverse=True)[1]
@@ -152,9 +153,9 @@ def grow(columns: list[np.ndarray], times: np.ndarray, least: int, lo: int, hi:
     a continuation are a range of them.  A code of -1 is the end of a piece.
     """
     here = columns[depth][lo:hi]
-    starts = np.flatnonzero(np.diff(here, prepend=-2))
+    starts = np.concatenate(([0], np.flatnonzero(here[1:] != here[:-1]) + 1))
     sums = np.add.reduceat(times[lo:hi], starts)
-    ends = np.append(starts[1:], hi - lo)
+    ends = np.concatenate((starts[1:], [hi - lo]))
     for k in np.flatnonzero((sums >= least) & (here[starts] >= 0)):
         word = int(here[starts[k]])
         yield (word,), int(sums[k])
@@ -171,21 +172,21 @@ def _mine(words: int, least: int):
         langs, prefixes = table["lang"].to_pylist(), table["prefix"].to_pylist()
         lines = table["pointers"].to_pylist()
         new = np.array([k == 0 or (langs[k], prefixes[k]) != (langs[k - 1], prefixes[k - 1]) for k in range(len(lines))], bool)
-        owner = np.repeat(np.cumsum(new) - 1, [x.count(b"\n") + 1 for x in lines])
+        owner = np.repeat(np.cumsum(new, dtype=np.int32) - 1, [x.count(b"\n") + 1 for x in lines])
         coded = tokens(b"\n".join(lines), PROJECTED)[0]
+        del table, lines
         times = pc.cast(pc.cast(coded.take(pa.array(np.arange(words - 1, len(coded), words))), pa.large_string()), pa.int64()).to_numpy(zero_copy_only=False)
         coded = coded.dictionary_encode()
         names = coded.dictionary.to_pylist()
-        code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, words)[:, :-1]
+        code = coded.indices.to_numpy(zero_copy_only=False).reshape(-1, words)[:, :-1]
         code = np.where(code == (names.index(END) if END in names else -1), -1, code)
         order = np.lexsort((*code.T[::-1], owner))
         columns, times, owner = [np.ascontiguousarray(c[order]) for c in code.T], times[order], owner[order]
-        bounds = np.flatnonzero(np.diff(owner, prepend=-1, append=-1))
+        bounds, first = np.flatnonzero(np.diff(owner, prepend=-1, append=-1)), np.flatnonzero(new)
         out: tuple[list, list, list, list] = ([], [], [], [])
-        for k, (lo, hi) in zip(np.flatnonzero(new).tolist(), zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True), strict=True):
-            if times[lo:hi].sum() < least:
-                continue
-            for more, f in grow(columns, times, least, lo, hi):
+        for n in np.flatnonzero(np.add.reduceat(times, bounds[:-1]) >= least).tolist():
+            k = int(first[n])
+            for more, f in grow(columns, times, least, int(bounds[n]), int(bounds[n + 1])):
                 for column, value in zip(out, (langs[k], b" ".join([prefixes[k], *[names[m] for m in more]]), len(more) + 1, f), strict=True):
                     column.append(value)
         return pa.table([pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int64())], ["lang", "phrase", "words", "f"])
@@ -210,7 +211,7 @@ def frequent_phrases(docs: DataFrame, max_words: int = 3, least: int = 10, lang_
     large: dict[bytes, list[bytes]] = {}
     for r in words.where(F.col("f") > LARGE).orderBy(F.desc("f"), "lang", "phrase").limit(MOST_LARGE).collect():
         large.setdefault(bytes(r["lang"]), []).append(bytes(r["phrase"]))
-    tasks = 1 + (totals.agg(F.sum("n")).first()[0] or 0) // LARGE
+    tasks = 1 + 2 * (totals.agg(F.sum("n")).first()[0] or 0) // LARGE
     found = (
         source.mapInArrow(_project(max_words, large), "lang binary, prefix binary, pointers binary")
         .groupBy(F.pmod(F.xxhash64("lang", "prefix"), F.lit(tasks)).alias("task"))
