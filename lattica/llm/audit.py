@@ -27,41 +27,40 @@ def word_totals(rows: DataFrame, key: list[str], text_col: str = "text") -> Data
     words, and tells how many rows share a key.  Rows that share one must hold
     the same text; their common words are counted once.
     """
-    words = F.filter(F.split(text_col, WORD_BREAK), lambda w: w != "")
-    exploded = rows.select(*key, F.explode(F.concat(F.array(F.lit(None).cast("string")), words)).alias("__word"))
+    words = F.concat(F.array(F.lit(None).cast("string")), F.split(text_col, WORD_BREAK))
+    exploded = rows.select(*key, F.explode(words).alias("__word")).where("__word is null or __word <> ''")
     by_word = exploded.groupBy(*key, "__word").agg(F.count("*").alias("__n"))
-    shared = F.sum(F.when(F.col("__word").isNull(), F.col("__n")))
-    return by_word.groupBy(*key).agg(
-        F.expr("sum(if(__word is null, 0, __n)) div sum(if(__word is null, __n, 0))").alias("words"),
-        F.count("__word").alias("distinct_words"), shared.alias("rows"),
-    )
+    return by_word.groupBy(*key).agg(F.expr("sum(if(__word is null, 0, __n)) div sum(if(__word is null, __n, 0))").alias("words"), F.count("__word").alias("distinct_words"))
 
 
 def failed_filters(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row a document: doc_id, part, failed (bit i for filter i), good, toxic.
 
-    A row is known by its id and a 64-bit hash of its text, so rows that repeat
-    an id with other texts stay apart.  E compares by SHA-256: a text fails if
+    A row is known by its id; where ids repeat or are null, by its id and a 64-bit
+    hash of its text, so that rows of other texts stay apart.  E compares by SHA-256: a text fails if
     a smaller id holds it; a null id is no smaller one and has none.  A null
     text is empty, a null language the empty part.  Labels that repeat count
     if any of them does; a document without labels is neither good nor toxic.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("part"))
-    rows = rows.withColumn("text_hash", F.xxhash64("text"))
-    key = ["doc_id", "text_hash"]
+    ids = docs.groupBy(F.col(id_col).cast("long").alias("doc_id")).agg(F.count("*").alias("rows"))
+    apart = ids.where("doc_id is null or rows > 1").isEmpty()
+    rows = rows.withColumn("text_hash", F.lit(0).cast("long") if apart else F.xxhash64("text"))
+    key = ["doc_id"] if apart else ["doc_id", "text_hash"]
     totals = word_totals(rows, key)
     flags = rows.select(
-        *key, "part", F.unhex(F.sha2("text", 256)).alias("digest"),
-        (100 * F.length(F.regexp_replace("text", "[^A-Z]+", "")) > MOST_CAPITAL_PERCENT * F.length("text")).alias("c"),
+        "doc_id", "text_hash", "part", F.unhex(F.sha2("text", 256)).alias("digest"),
+        (100 * F.regexp_count("text", F.lit("[A-Z]")) > MOST_CAPITAL_PERCENT * F.length("text")).alias("c"),
         F.col("text").rlike(ODD_MARKS).alias("d"),
     )
     first = flags.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("holders")).where("holders > 1").drop("holders")
     flags = flags.join(first, "digest", "left")
-    same = F.struct(F.coalesce("doc_id", F.lit(0)).alias("i"), F.col("doc_id").isNull().alias("n"), F.col("text_hash").alias("h"))
-    totals = totals.select(same.alias("key"), "words", "distinct_words")
+    if not apart:
+        same = F.struct(F.coalesce("doc_id", F.lit(0)).alias("i"), F.col("doc_id").isNull().alias("n"), F.col("text_hash").alias("h"))
+        flags, totals, key = flags.withColumn("key", same), totals.select(same.alias("key"), "words", "distinct_words"), ["key"]
     marks = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col("quality") == 1).cast("int")).alias("good"), F.max((F.col("toxic") == 1).cast("int")).alias("toxic"))
-    joined = flags.withColumn("key", same).join(totals, "key", "left").join(marks, "doc_id", "left")
+    joined = flags.join(totals, key, "left").join(marks, "doc_id", "left")
     failing = [
         F.col("words") < LEAST_WORDS, 100 * F.col("distinct_words") < LEAST_DISTINCT_PERCENT * F.col("words"), F.col("c"), F.col("d"), F.col("doc_id") > F.col("first_id"),
     ]
