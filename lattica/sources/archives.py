@@ -7,7 +7,8 @@ import io
 import json
 import zipfile
 import zlib
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from typing import TextIO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -46,29 +47,35 @@ def zip_csv(files: DataFrame, required: Sequence[str], member: str | None = None
     def run(batches):
         for batch in batches:
             for path, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                reader = csv.DictReader(io.StringIO(_member(data, member, suffix)[1].decode(encoding)))
-                lacking = [c for c in required if c not in (reader.fieldnames or ())]
-                if lacking:
-                    raise ValueError(f"{path} lacks columns {lacking}")
-                rows: list[tuple] = []
-                for number, row in enumerate(reader, 2):
-                    if label_key and number == 2:
-                        if (row[label_key] or "").strip():
-                            raise ValueError(f"{path}: the first row holds no labels")
-                        continue
-                    rows.append((path, number, *((row[c] if row[c] is not None else "") for c in required)))
-                    if len(rows) == 10_000:
-                        yield _batch(rows, required)
-                        rows = []
-                yield _batch(rows, required)
+                text = io.StringIO(_member(data, member, suffix)[1].decode(encoding))
+                for rows in table_rows(text, path, required, label_key):
+                    yield batch_of([(path, *row) for row in rows], [pa.string(), pa.int32(), *[pa.string()] * len(required)], ["path", "row_number", *required])
 
     return files.mapInArrow(run, schema)
 
 
-def _batch(rows: list[tuple], required: Sequence[str]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [()] * (len(required) + 2)
-    kinds = [pa.string(), pa.int32(), *[pa.string()] * len(required)]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["path", "row_number", *required])
+def table_rows(text: TextIO, path: str, required: Sequence[str], label_key: str | None) -> Iterator[list[tuple]]:
+    """Lists of (row number, required values) of a table that is read as it is parsed."""
+    reader = csv.DictReader(text)
+    lacking = [c for c in (*required, *([label_key] if label_key else ())) if c not in (reader.fieldnames or ())]
+    if lacking:
+        raise ValueError(f"{path} lacks columns {lacking}")
+    rows: list[tuple] = []
+    for number, row in enumerate(reader, 2):
+        if label_key and number == 2:
+            if (row[label_key] or "").strip():
+                raise ValueError(f"{path}: the first row holds no labels")
+            continue
+        rows.append((number, *((row[c] if row[c] is not None else "") for c in required)))
+        if len(rows) == 10_000:
+            yield rows
+            rows = []
+    yield rows
+
+
+def batch_of(rows: Sequence[tuple], kinds: Sequence[pa.DataType], names: Sequence[str]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], list(names))
 
 
 def zip_geojson(files: DataFrame, properties: Sequence[str], key_parts: Sequence[str] = (), member: str | None = None, suffix: str = ".geojson", point_only: bool = False) -> DataFrame:
@@ -82,24 +89,26 @@ def zip_geojson(files: DataFrame, properties: Sequence[str], key_parts: Sequence
     def run(batches):
         for batch in batches:
             for path, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                document = json.loads(_member(data, member, suffix)[1].decode("utf-8-sig"))
-                if document.get("type") != "FeatureCollection":
-                    raise ValueError(f"{path} is no FeatureCollection")
-                rows = []
-                for i, f in enumerate(document["features"]):
-                    p, g = f.get("properties") or {}, f.get("geometry") or {}
-                    if point_only and g.get("type") != "Point":
-                        raise ValueError(f"{path}: feature {i} is no point")
-                    parts = [str(p.get(k) or "") for k in key_parts]
-                    key = "|".join(parts) if any(parts) else f"MISSING_{i:06d}"
-                    rows.append((path, i, key, g.get("type"), json.dumps(g.get("coordinates")), *(None if p.get(k) is None else str(p.get(k)) for k in properties)))
-                columns = list(zip(*rows, strict=True)) or [()] * (5 + len(properties))
-                kinds = [pa.string(), pa.int32(), *[pa.string()] * (3 + len(properties))]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["path", "feature_index", "source_key", "geometry_type", "coordinates", *properties])
+                rows = [(path, *row) for row in feature_rows(_member(data, member, suffix)[1], path, properties, key_parts, point_only)]
+                yield batch_of(rows, [pa.string(), pa.int32(), *[pa.string()] * (3 + len(properties))], ["path", "feature_index", "source_key", "geometry_type", "coordinates", *properties])
 
     return files.mapInArrow(run, schema)
 
 
+def feature_rows(data: bytes, path: str, properties: Sequence[str], key_parts: Sequence[str], point_only: bool) -> Iterator[tuple]:
+    """(index, source key, geometry's type, coordinates, properties) of each feature of a collection."""
+    document = json.loads(data.decode("utf-8-sig"))
+    if document.get("type") != "FeatureCollection":
+        raise ValueError(f"{path} is no FeatureCollection")
+    for i, f in enumerate(document["features"]):
+        p, g = f.get("properties") or {}, f.get("geometry") or {}
+        if point_only and g.get("type") != "Point":
+            raise ValueError(f"{path}: feature {i} is no point")
+        parts = [str(p.get(k) or "") for k in key_parts]
+        key = "|".join(parts) if any(parts) else f"MISSING_{i:06d}"
+        yield i, key, g.get("type"), json.dumps(g.get("coordinates")), *(None if p.get(k) is None else str(p.get(k)) for k in properties)
+
+
 def coordinates(df: DataFrame, kind: str = "array<array<double>>") -> DataFrame:
     """The JSON coordinates as nested arrays."""
     return df.withColumn("coordinates", F.from_json("coordinates", kind))
