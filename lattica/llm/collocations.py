@@ -6,8 +6,8 @@ projected by prefix, alike ones of a block of documents once, with their
 number.  A task holds whole prefixes and grows each depth first: the pointers
 of a phrase are a range of the sorted ones, which splits at the next word.
 
-A prefix that occurs more often than ``LARGE`` times is no single task's work.
-It is grown by Spark, level by level, with counts that combine before they are
+A prefix that holds one in ``SHARE`` of all words, or ``LARGE`` of them, is no
+single task's work.  It is grown by Spark, level by level, with counts that combine before they are
 shuffled, so that no word, however frequent, meets in one place.
 """
 
@@ -24,8 +24,10 @@ from pyspark.sql.window import Window
 
 from .common import arrow_rows, discard, materialise
 
-#: Bytes of text whose alike pointers become one; occurrences that one task grows; most prefixes that are named to the tasks.
-BLOCK, LARGE, MOST_LARGE = 12 << 20, 500_000, 1_000_000
+#: Bytes of text whose alike pointers become one; occurrences that a task grows, on average.
+BLOCK, TASK = 12 << 20, 250_000
+#: Which prefixes no task grows, and how many of them are named to the tasks at most.
+SHARE, LARGE, MOST_LARGE = 100, 2_000_000, 1_000_000
 #: Parts of a language that find their own best phrases before all of it does.
 PARTS = 16
 
@@ -208,10 +210,11 @@ def frequent_phrases(docs: DataFrame, max_words: int = 3, least: int = 10, lang_
     single = words.where(F.col("f") >= least).select("lang", "phrase", F.lit(1).alias("words"), "f")
     if max_words == 1:
         return materialise(single, "phrases"), totals
+    every = totals.agg(F.sum("n")).first()[0] or 0
     large: dict[bytes, list[bytes]] = {}
-    for r in words.where(F.col("f") > LARGE).orderBy(F.desc("f"), "lang", "phrase").limit(MOST_LARGE).collect():
+    for r in words.where(F.col("f") > min(every // SHARE, LARGE)).orderBy(F.desc("f"), "lang", "phrase").limit(MOST_LARGE).collect():
         large.setdefault(bytes(r["lang"]), []).append(bytes(r["phrase"]))
-    tasks = 1 + 2 * (totals.agg(F.sum("n")).first()[0] or 0) // LARGE
+    tasks = 1 + every // TASK
     found = (
         source.mapInArrow(_project(max_words, large), "lang binary, prefix binary, pointers binary")
         .groupBy(F.pmod(F.xxhash64("lang", "prefix"), F.lit(tasks)).alias("task"))
