@@ -32,13 +32,6 @@ def compact_json(**columns: Column) -> Column:
     return F.to_json(F.struct(*[columns[k].alias(k) for k in sorted(columns)]))
 
 
-def json_merge(left: Column, right: Column) -> Column:
-    """Objects of strings: the right one's names win; names in order."""
-    kind = "map<string,string>"
-    both = F.map_concat(F.map_filter(F.coalesce(F.from_json(left, kind), F.create_map().cast(kind)), lambda k, _: ~F.array_contains(F.map_keys(F.from_json(right, kind)), k)), F.from_json(right, kind))
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(both))))
-
-
 def ordered_hash(seq: Column, key: Column) -> Column:
     """Aggregate: SHA-256 of the JSON list of keys in order."""
     return F.sha2(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct(seq.alias("s"), key.alias("k")))), lambda x: x["k"])), 256)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import json_merge
+from ..functions.variant import json_merge
 
 
 def resolve_names(wanted: DataFrame, pool: DataFrame, on: Sequence[str], preferred: str, key: str, group: str, row_id: str) -> DataFrame:
@@ -122,13 +122,25 @@ def apply_decisions(hubs: DataFrame, links: DataFrame, decisions: DataFrame, gro
     return old.unionByName(new), old_links.unionByName(new_links), faults
 
 
-def resolve_reviews(queue: DataFrame, decisions: DataFrame, resolved_at: str) -> DataFrame:
-    """Open cases that have a decision are resolved, the decision added to their evidence."""
-    d = decisions.select(F.col("source_key").alias("__k"), F.to_json(F.struct(F.col("decision").alias("adjudication"))).alias("__d"))
+def resolve_reviews(queue: DataFrame, decisions: DataFrame, resolved_at: str, hubs: DataFrame | None = None) -> DataFrame:
+    """Open cases that have a decision are resolved, the decision added to their evidence, which keeps its types.
+
+    ``decisions``: source_key, decision and whatever else was decided.  If it has
+    no further column, the bare decision is added, else the whole row as an
+    object.  A ``resolution_note`` becomes the case's, where the queue has one.
+    ``hubs``: hub_key, hub_id; the id of a decision's ``target_hub_key`` is
+    added as ``resolved_hub_id``.  One decision a key; a case without is left as it is.
+    """
+    more = [c for c in decisions.columns if c not in ("source_key", "decision")]
+    known = decisions if hubs is None else decisions.join(hubs.select(F.col("hub_key").alias("target_hub_key"), F.col("hub_id").alias("__hub")), "target_hub_key", "left")
+    said = F.struct(*[F.col(c) for c in decisions.columns]) if more else F.col("decision")
+    added = F.to_json(F.struct(said.alias("adjudication"), *([] if hubs is None else [F.col("__hub").alias("resolved_hub_id")])))
+    note = F.col("resolution_note") if "resolution_note" in more else F.lit(None).cast("string")
+    d = known.select(F.col("source_key").alias("__k"), added.alias("__d"), note.alias("__note"))
     joined = queue.join(d, queue["source_key"] == F.col("__k"), "left")
     done = (queue["status"] == "open") & F.col("__k").isNotNull()
-    changed = {"status": F.when(done, "resolved").otherwise(queue["status"]), "resolved_at": F.when(done, F.lit(resolved_at)).otherwise(queue["resolved_at"]), "evidence_json": F.when(done, json_merge(queue["evidence_json"], F.col("__d"))).otherwise(queue["evidence_json"])}
-    return joined.select(*[changed[c].alias(c) if c in changed else queue[c] for c in queue.columns])
+    changed = {"status": F.lit("resolved"), "resolved_at": F.lit(resolved_at), "evidence_json": json_merge(queue["evidence_json"], F.col("__d")), "resolution_note": F.col("__note")}
+    return joined.select(*[F.when(done, changed[c]).otherwise(queue[c]).alias(c) if c in changed else queue[c] for c in queue.columns])
 
 
 def replay_decisions(decisions: DataFrame, links: DataFrame) -> DataFrame:

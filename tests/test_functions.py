@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lattica.functions import geo, text, tokens
+from lattica.functions import geo, text, tokens, variant
 
 
 def one(spark, column, **values):
@@ -65,7 +65,7 @@ def test_inside_edges(spark):
 
 def test_text(spark):
     assert one(spark, text.composite_key(F.col("a"), F.lit(None), F.col("b")), a="x", b="y") == "x||y"
-    assert one(spark, text.json_merge(F.col("a"), F.col("b")), a='{"z":"1","a":"2"}', b='{"z":"3"}') == '{"a":"2","z":"3"}'
+    assert one(spark, variant.json_merge(F.col("a"), F.col("b")), a='{"z":"1","a":"2"}', b='{"z":"3"}') == '{"a":"2","z":"3"}'
     assert one(spark, text.html_unescape(F.col("a")), a="a &amp; b") == "a & b"
     assert one(spark, text.forbidden_source(F.col("a"), "abc"), a="xＡＢＣ") is True
     assert one(spark, text.excel_cell(F.lit(28), F.lit(3)), a="") == "AB3"
