@@ -8,17 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from .order_stats import quantiles
 from .ranking import competition_rank
 
 
 def robust_scale(df: DataFrame, value: str, train: Column, low: float = 0.01, high: float = 0.99, name: str = "scaled") -> DataFrame:
-    """Winsorised at the training rows' quantiles, centred on their median, in units of their MAD."""
-    t = df.where(train)
-    q = t.agg(F.percentile(value, F.lit(low)).alias("lo"), F.percentile(value, F.lit(high)).alias("hi"), F.median(value).alias("med"))
-    clipped = F.greatest(F.col("lo"), F.least(F.col("hi"), F.col(value)))
-    mad = t.join(F.broadcast(q)).agg(F.median(F.abs(clipped - F.col("med"))).alias("mad"))
-    out = df.join(F.broadcast(q)).join(F.broadcast(mad))
-    return out.withColumn(name, (clipped - F.col("med")) / F.nullif(F.col("mad"), F.lit(0.0))).drop("lo", "hi", "med", "mad")
+    """Winsorised at the training rows' quantiles, centred on their median, in units of their MAD.
+
+    The quantiles are exact and found by counting; without training values, or with a MAD of zero, all are null.
+    """
+    t, v = df.where(train), F.col(value)
+    cuts = quantiles(t, v, (low, high, 0.5))
+    if cuts is None:
+        return df.withColumn(name, F.lit(None).cast("double"))
+    lo, hi, med = cuts
+    clipped = F.when(v.isNotNull(), F.greatest(F.lit(lo), F.least(F.lit(hi), v)))
+    mad = quantiles(t, F.abs(clipped - med), (0.5,))[0]
+    return df.withColumn(name, (clipped - med) / mad if mad else F.lit(None).cast("double"))
 
 
 def activity(e: Column, n: Column, alpha: float = 0.6) -> Column:
@@ -98,3 +104,27 @@ def sensitivity(df: DataFrame, distance: str, thresholds: Sequence[float]) -> Da
     """Rows within each threshold: the thresholds are exploded next to each row, no join needed."""
     t = df.withColumn("threshold", F.explode(F.array(*[F.lit(float(x)) for x in thresholds])))
     return t.groupBy("threshold").agg(F.count_if(F.col(distance) <= F.col("threshold")).alias("within"), F.count("*").alias("rows"))
+
+
+def leave_one_out(df: DataFrame, key: str, weights: dict[str, float], thresholds: Sequence[float]) -> DataFrame:
+    """How a weighted score holds without each of its features: variant, threshold, rows, kept, gained, lost, mean_shift, most_shift.
+
+    ``all`` is the whole score; ``-x`` leaves feature x out, the other weights
+    scaled to their sum.  Kept, gained and lost compare the rows at or above a
+    threshold with those of the whole score; shifts are differences of
+    competition ranks.  A row without one of the features has no score and
+    takes no part.  Ranks come from counts of distinct values; all else is one pass.
+    """
+    whole = sum(weights.values())
+    variants = {"all": weights} | {f"-{x}": {k: w for k, w in weights.items() if k != x} for x in weights}
+    there = df.where(" and ".join(f"{c} is not null" for c in weights)).select(key, *weights)
+    scored = there.select(key, *[sum((F.col(k) * (w * whole / sum(ws.values())) for k, w in ws.items()), F.lit(0.0)).alias(f"__s{i}") for i, ws in enumerate(variants.values())])
+    for i in range(len(variants)):
+        scored = competition_rank(scored, f"__s{i}", name=f"__r{i}")
+    one = lambda i, name: F.struct(F.lit(name).alias("variant"), F.col(f"__s{i}").alias("score"), F.abs(F.col(f"__r{i}") - F.col("__r0")).alias("shift"))
+    stacked = scored.select(F.col("__s0").alias("base"), F.explode(F.array(*[one(i, name) for i, name in enumerate(variants)])).alias("v")).select("base", "v.*")
+    stacked = stacked.withColumn("threshold", F.explode(F.array(*[F.lit(float(t)) for t in thresholds])))
+    now, then = F.col("score") >= F.col("threshold"), F.col("base") >= F.col("threshold")
+    return stacked.groupBy("variant", "threshold").agg(
+        F.count("*").alias("rows"), F.count_if(now & then).alias("kept"), F.count_if(now & ~then).alias("gained"), F.count_if(~now & then).alias("lost"), F.avg("shift").alias("mean_shift"), F.max("shift").alias("most_shift"),
+    )

@@ -51,11 +51,15 @@ def competition_rank(df: DataFrame, value: str, descending: bool = True, by: Seq
 
 
 def places(df: DataFrame, value: str, tie: str, descending: bool = True, name: str = "place") -> DataFrame:
-    """Place of each row in the order by value, the unavailable last in both directions, ties by ``tie`` (unique)."""
-    ranked = competition_rank(df, value, descending, name="__rank")
-    there = df.where(F.col(value).isNotNull()).agg(F.count("*").alias("n")).scalar()
+    """Place of each row in the order by value, the unavailable last in both directions, ties by ``tie`` (unique, null at most once)."""
+    known, lost = df.where(F.col(value).isNotNull()), df.where(F.col(value).isNull())
     inside = F.row_number().over(Window.partitionBy(value).orderBy(tie))
-    return ranked.withColumn(name, (F.coalesce(F.col("__rank") - 1, there) + inside).cast("int")).drop("__rank")
+    placed = competition_rank(known, value, descending, name="__rank").withColumn(name, (F.col("__rank") - 1 + inside).cast("int")).drop("__rank")
+    # ties are unique, so the rank of a tie is a place; rows without one stand behind
+    there, tied = known.agg(F.count("*").alias("n")), lost.agg(F.count(tie).alias("n"))
+    behind = competition_rank(lost, tie, descending=False, name="__rank")
+    behind = behind.withColumn(name, (there.scalar() + F.coalesce(F.col("__rank"), tied.scalar() + 1)).cast("int")).drop("__rank")
+    return placed.unionByName(behind)
 
 
 def nulls_last(value: str, descending: bool, *ties: str) -> list[Column]:
