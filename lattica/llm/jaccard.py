@@ -175,6 +175,11 @@ def join_chunks(pdf: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
     return pd.DataFrame(sorted(out), columns=["a", "b"]).astype("int64")
 
 
+def calls_for(told: DataFrame) -> int:
+    """Calls that hold ``CALL_MEMBERS`` rows on average: a member is copied to as many chunk pairs as its tile has chunks."""
+    return max(1, -(-(told.agg(F.sum("parts")).first()[0] or 0) // CALL_MEMBERS))
+
+
 def similarity_components(docs: DataFrame, num: int = 90, den: int = 100, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs``.
 
@@ -273,7 +278,7 @@ def similarity_components(docs: DataFrame, num: int = 90, den: int = 100, words:
         told = told.withColumn("parts", F.ceil(F.col("members") / CHUNK).cast("int")).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
         met = told.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("tile", F.least("part", "other").alias("c"), F.greatest("part", "other").alias("d"), "part", "node", "label")
         met = met.join(details.select("node", F.size("shingles").alias("n"), "point", "sketch"), "node")
-        calls = F.pmod(F.xxhash64("tile", "c", "d"), F.lit(max(1, -(-told.count() // CALL_MEMBERS)))).alias("call")
+        calls = F.pmod(F.xxhash64("tile", "c", "d"), F.lit(calls_for(told))).alias("call")
         links = links.unionByName(verified(met.groupBy(calls).applyInPandas(lambda pdf: join_chunks(pdf, num, den), "a long, b long")))
         labels = components(links)
     discard(tiles, wanted, details)
