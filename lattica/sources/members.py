@@ -9,20 +9,19 @@ whole.  Paths are local or of any store that pyarrow's file systems open.
 from __future__ import annotations
 
 import fnmatch
-import glob
 import io
 import zipfile
 import zlib
 from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 from pyspark.sql.types import IntegerType, StringType, StructType
 
 from .archives import batch_of, feature_rows, probe_encoding, table_rows
+from .files import listed, open_read
 
 #: Columns that every kind has, and those of each kind before its own.
 HEAD = "path string, member string"
@@ -31,31 +30,6 @@ KINDS = {"csv": ", row_number int", "geojson": ", feature_index int, source_key
 AT_ONCE = 32
 
 
-def open_archive(path: str) -> BinaryIO:
-    """A file that can be read anywhere in it."""
-    if "://" not in path or path.startswith("file:"):
-        return open(path.removeprefix("file://").removeprefix("file:"), "rb")
-    from pyarrow import fs
-
-    system, inside = fs.FileSystem.from_uri(path)
-    return system.open_input_file(inside)
-
-
-def listed(path: str) -> list[str]:
-    """The archives of a path: itself, those of its pattern, or all ``.zip`` of its folder."""
-    if "://" not in path or path.startswith("file:"):
-        plain = path.removeprefix("file://").removeprefix("file:")
-        return sorted(glob.glob(f"{plain}/*.zip") or glob.glob(plain))
-    from pyarrow import fs
-
-    system, inside = fs.FileSystem.from_uri(path)
-    info = system.get_file_info(inside)
-    if info.type != fs.FileType.Directory:
-        return [path]
-    head = path[: len(path) - len(inside)] if path.endswith(inside) else path
-    return sorted(head + f.path for f in system.get_file_info(fs.FileSelector(inside)) if f.path.endswith(".zip"))
-
-
 @dataclass
 class Member(InputPartition):
     """One member of one archive, with its place there from 1."""
@@ -125,7 +99,7 @@ class MemberReader(DataSourceReader):
 
     def _members(self, path: str) -> list[Member]:
         pattern = self.options.get("members", "*")
-        with open_archive(path) as file, zipfile.ZipFile(file) as z:
+        with open_read(path) as file, zipfile.ZipFile(file) as z:
             found = [Member(path, i.filename, n) for n, i in enumerate(z.infolist(), 1) if not i.is_dir() and fnmatch.fnmatchcase(i.filename, pattern)]
         if self.options.get("single", "false").lower() == "true" and len(found) != 1:
             raise ValueError(f"{path} has {len(found)} members {pattern} instead of one")
@@ -138,7 +112,7 @@ class MemberReader(DataSourceReader):
         fixed = [c.split()[0] for c in KINDS[self.kind].strip(", ").split(", ")]
         own = [f.name for f in self.schema if f.name not in (*head, *fixed)]
         names = [*fixed, *own]
-        with open_archive(partition.path) as file, zipfile.ZipFile(file) as z:
+        with open_read(partition.path) as file, zipfile.ZipFile(file) as z:
             info = z.infolist()[partition.place - 1]
             for rows in getattr(self, f"_{self.kind}")(z, info, partition, own):
                 yield self._batch([head | dict(zip(names, row, strict=True)) for row in rows])

@@ -5,13 +5,13 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.constraints import GateError, required_nulls
+from .files import open_write, replace
 
 
 def declared(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -63,12 +63,11 @@ def manifest(spark, path: str) -> DataFrame:
 
 
 def publish_text(path: str, text: str, encoding: str = "utf-8") -> str:
-    """Write a small text whole or not at all; returns its SHA-256."""
-    target = Path(path)
-    part = target.with_name(target.name + ".part")
+    """Write a small text whole or not at all, to a local folder or a store; returns its SHA-256."""
     data = text.encode(encoding)
-    part.write_bytes(data)
-    os.replace(part, target)
+    with open_write(f"{path}.part") as file:
+        file.write(data)
+    replace(f"{path}.part", path)
     return hashlib.sha256(data).hexdigest()
 
 

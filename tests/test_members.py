@@ -77,7 +77,7 @@ def test_index_tells_of_damage(read, tmp_path):
 
 
 @pytest.mark.parametrize(("options", "says"), [
-    ({"columns": "NOPE"}, "lacks columns"), ({"columns": "T1", "labelKey": "T1"}, "no labels"), ({"single": "true"}, "2 members"), ({"kind": "xml"}, "is none of"), ({"path": "/nowhere/*.zip"}, "no archive"), ({"kind": "geojson"}, "JSONDecodeError"),
+    ({"columns": "NOPE"}, "lacks columns"), ({"columns": "T1", "labelKey": "T1"}, "no labels"), ({"single": "true"}, "2 members"), ({"kind": "xml"}, "is none of"), ({"path": "/nowhere/*.zip"}, "no archive"), ({"kind": "geojson"}, "DecodeError"),
 ])
 def test_faults_fail_the_read(read, tmp_path, options, says):
     path = zipped(tmp_path / "a.zip", {"a.txt": body(1), "b.txt": body(2)})
