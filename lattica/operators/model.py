@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from .checkpoints import ensure_folder
 from .order_stats import quantiles
 from .ranking import competition_rank
 
@@ -55,17 +56,7 @@ def connected_cells(cells: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
     meets, and the one that takes in its turn, to the end; until a round changes
     nothing.  Each step is written to the checkpoint folder.
     """
-    spark = cells.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        path = spark.conf.get("spark.checkpoint.dir", None)
-        if path is None:
-            master = spark.sparkContext.master
-            if not master.startswith("local") or master.startswith("local-cluster"):
-                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-            import tempfile
-
-            path = tempfile.mkdtemp()
-        spark.sparkContext.setCheckpointDir(path)
+    ensure_folder(cells.sparkSession)
     at = F.struct(F.col(x).cast("long").alias("x"), F.col(y).cast("long").alias("y"))
     lab = cells.select(at.alias("cell"), at.alias("component")).distinct()
     step = F.array(*[F.struct((F.col("cell.x") + dx).alias("x"), (F.col("cell.y") + dy).alias("y")) for dx, dy in ((0, 0), (1, 0), (-1, 0), (0, 1), (0, -1))])
