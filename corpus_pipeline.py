@@ -40,15 +40,20 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by 0.8 of their five-word shingles, the one of smallest id stays; so does one row of an id that repeats."""
-    found = materialise(similarity_components(docs, num=80, den=100, words=5), "pipeline-components")
-    gone = materialise(found.where("component_id <> doc_id").select("doc_id").distinct(), "pipeline-gone")
+    """Of documents linked by 0.8 of their five-word shingles one stays: that of smallest id.
+
+    Where ids repeat or lack, rows are told apart by a number of their own and the
+    first of a group stays, so that rows of one id and different texts both do.
+    A blank or null text, and one that links with nothing, stays.
+    """
+    repeated = docs.groupBy("doc_id").count().where("doc_id is null or count > 1")
+    rows, key = docs, "doc_id"
+    if not repeated.isEmpty():
+        rows, key = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-numbered"), "__row"
+    found = materialise(similarity_components(rows, num=80, den=100, words=5, id_col=key), "pipeline-components")
+    gone = materialise(found.where("component_id <> doc_id").select(F.col("doc_id").alias(key)).distinct(), "pipeline-gone")
     few = gone.count() <= BROADCAST_IDS
-    kept = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
-    if found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    named = kept.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
-    return named.unionByName(kept.where("doc_id is null"))
+    return rows.join(F.broadcast(gone) if few else gone, key, "left_anti").select(*docs.columns)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
