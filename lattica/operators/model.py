@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from .checkpoints import ensure_folder
+from .near import within_cells
 from .order_stats import quantiles
 from .ranking import competition_rank
 
@@ -36,13 +37,12 @@ def activity(e: Column, n: Column, alpha: float = 0.6) -> Column:
 def buffer_sums(points: DataFrame, stations: DataFrame, station: str, value: str, radii: Sequence[float]) -> DataFrame:
     """Sum of ``value`` of the points within each radius (km) of each station; both have lon and lat.
 
-    Points and stations meet in latitude bands no narrower than the largest radius.
+    Points and stations meet in cells no narrower than the largest radius.
     """
     most = max(radii)
-    band = lambda lat: F.floor(lat * geo.LAT_KM_SCREEN / most).cast("long")
-    p = points.select(F.col("lon").alias("__x"), F.col("lat").alias("__y"), F.col(value).alias("__v"), band(F.col("lat")).alias("band"))
-    s = stations.select(station, "lon", "lat", F.explode(F.array(band(F.col("lat")) - 1, band(F.col("lat")), band(F.col("lat")) + 1)).alias("band"))
-    j = s.join(p, "band").withColumn("km", geo.haversine_km(F.col("lon"), F.col("lat"), F.col("__x"), F.col("__y"))).where(F.col("km") <= most)
+    p = points.select(F.col("lon").alias("__x"), F.col("lat").alias("__y"), F.col(value).alias("__v"))
+    met = within_cells(p, stations.select(station, "lon", "lat"), ("__x", "__y"), ("lon", "lat"), most)
+    j = met.withColumn("km", geo.haversine_km(F.col("lon"), F.col("lat"), F.col("__x"), F.col("__y"))).where(F.col("km") <= most)
     sums = [F.coalesce(F.sum(F.when(F.col("km") <= r, F.col("__v"))), F.lit(0)).alias(f"within_{int(r * 1000)}m") for r in radii]
     near = j.groupBy(station).agg(*sums)
     filled = [F.coalesce(F.col(f"within_{int(r * 1000)}m"), F.lit(0)).alias(f"within_{int(r * 1000)}m") for r in radii]

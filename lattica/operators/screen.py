@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..functions.text import ordered_hash
+from .near import within_cells
 
 
 def cumulative_km(df: DataFrame, chain: str, seq: str, lon: str, lat: str, lat_km: float = geo.LAT_KM) -> DataFrame:
@@ -41,11 +42,9 @@ def near_collisions(df: DataFrame, key: str, name: str, group: str, lon: str, la
     """Pairs of one name and different groups within ``km`` of each other, each pair once."""
     a = df.select(F.col(name).alias("name"), F.col(key).alias("a"), F.col(group).alias("ga"), F.col(lon).alias("xa"), F.col(lat).alias("ya"))
     b = df.select(F.col(name).alias("name"), F.col(key).alias("b"), F.col(group).alias("gb"), F.col(lon).alias("xb"), F.col(lat).alias("yb"))
-    # rows of a name are also dealt by cells of latitude no smaller than the distance, so that a frequent name is no all-pairs join
-    cell = lambda y: F.floor(F.col(y) * geo.LAT_KM / max(km, 1e-6)).cast("long")
-    a = a.withColumn("cell", cell("ya"))
-    b = b.withColumn("cell", F.explode(F.array(cell("yb") - 1, cell("yb"), cell("yb") + 1)))
-    j = a.join(b, ["name", "cell"]).where("a < b and not (ga <=> gb)")
+    # rows of a name are also dealt by cells, a little wider than the distance as the planar one falls short of the true one,
+    # so that a frequent name is no all-pairs join
+    j = within_cells(a, b, ("xa", "ya"), ("xb", "yb"), max(km, 1e-6) * 1.02, ["name"]).where("a < b and not (ga <=> gb)")
     j = j.withColumn("km", geo.approx_km(F.col("xa"), F.col("ya"), F.col("xb"), F.col("yb")))
     return j.where(F.col("km") <= km).select("name", "a", "b", "km")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import model, screen
+from ..operators import model, near, screen
 from .carriers import EDGES_SQL, INSIDE_SQL, POLYGON, approx_sql, haversine_sql, lat, lat_sql, lon, lon_sql, query, read
 
 PTS = f"pts AS (SELECT c_custkey, c_nationkey, {lon_sql('c_custkey')} AS lon, {lat_sql('c_custkey')} AS lat FROM customer)"
@@ -57,27 +57,8 @@ def haversine_nearest(spark, d):
     return nearest(points(spark, d), anchors(spark, d)).select("c_custkey", F.round("km", 6).alias("km"), (F.col("km") <= 5).alias("near"))
 
 
-def nearest(pts, anchor, within: float = 16.0):
-    """Distance of each point's nearest anchor.
-
-    Anchors are dealt into square cells of ``within`` km and met by equal keys in the
-    neighbouring cells; points with none there meet the anchors of all cells on
-    a second, wider grid, so that the answer is exact and no join is a cross product.
-    """
-    best = None
-    left = pts
-    for km in (within, within * 16, within * 4096):
-        cell = lambda x, y: (F.floor(y * geo.LAT_KM_SCREEN / km).cast("long"), F.floor(x * 60.0 / km).cast("long"))  # noqa: E731, B023
-        ay, ax = cell(F.col("x"), F.col("y"))
-        a = anchor.withColumn("gy", ay).withColumn("gx", ax)
-        py, px = cell(F.col("lon"), F.col("lat"))
-        p = left.withColumn("gy", F.explode(F.array(py - 1, py, py + 1))).withColumn("gx", F.explode(F.array(px - 1, px, px + 1)))
-        got = p.join(a, ["gx", "gy"]).withColumn("km", geo.haversine_km(F.col("lon"), F.col("lat"), F.col("x"), F.col("y"))).groupBy("c_custkey").agg(F.min("km").alias("km"))
-        # a distance beyond the cell's width may hide a nearer anchor outside the neighbourhood
-        sure = got.where(F.col("km") <= km * 0.5)
-        best = sure if best is None else best.unionByName(sure)
-        left = left.join(sure.select("c_custkey"), "c_custkey", "left_anti")
-    return best
+def nearest(pts, anchor):
+    return near.nearest(pts, anchor, "c_custkey")
 
 
 _SCOPE = """CASE WHEN pref IN ('11', '12', '13', '14') THEN 'display_domain' WHEN pref = '08' AND km <= 5 THEN 'tx_pilot_exception' ELSE 'adjacent_partition_untrimmed' END"""
