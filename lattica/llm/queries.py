@@ -10,15 +10,13 @@ from .common import shared_dir, table
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
 
-#: Hosts and first path parts in the feed of listed URLs.
-URL_FEED = [("tionsh", "net/en"), ("tionsh", "net/de"), ("blog.tionsh", "net/en"), ("blog.tionsh", "net/de"), ("thther", "org/en"), ("thther", "org/de"), ("spam-farm", "org/en"), ("ads-track", "org/en")]
+def url_feed(pages):
+    """The listed URLs, derived from the pages: canonical forms whose MD5 begins with 0, and of those that begin with 1 a near miss."""
+    from .url_filter import canonical_url
 
-
-def url_feed(spark):
-    """The listed canonical URLs: a feed made by rule, 160,000 of them, whatever the tables hold."""
-    numbers = spark.range(0, 100_000, 5)
-    hosts = F.explode(F.array(*[F.lit(f"{h}.example.{c}/") for h, c in URL_FEED]))
-    return numbers.select("id", hosts.alias("head")).select(F.concat("head", F.col("id").cast("string")).alias("canonical"))
+    forms = pages.select(canonical_url(F.col("url")).alias("canonical")).where("canonical <> ''").distinct()
+    first = F.substring(F.md5("canonical"), 1, 1)
+    return forms.where(first.isin("0", "1")).select(F.when(first == "0", F.col("canonical")).otherwise(F.concat("canonical", F.lit("x"))).alias("canonical"))
 
 
 #: The surrogates' secret in the registered queries.
@@ -49,7 +47,8 @@ def op3_line_dedup(spark, sf_dir):
 def op4_url_filters(spark, sf_dir):
     from .url_filter import url_verdicts
 
-    return url_verdicts(table(spark, sf_dir, "pages"), url_feed(spark), URL_RULES)
+    pages = table(spark, sf_dir, "pages")
+    return url_verdicts(pages, url_feed(pages), URL_RULES)
 
 
 def op5_quality(spark, sf_dir):
@@ -132,10 +131,7 @@ QUERIES = {
 
 SQL = {
     "op4_url_filters": r"""
-WITH feed AS (
-  SELECT h || '.example.' || c || '/' || CAST(n AS VARCHAR) AS canonical
-  FROM range(0, 100000, 5) AS r(n), (VALUES ('tionsh', 'net/en'), ('tionsh', 'net/de'), ('blog.tionsh', 'net/en'), ('blog.tionsh', 'net/de'), ('thther', 'org/en'), ('thther', 'org/de'), ('spam-farm', 'org/en'), ('ads-track', 'org/en')) AS a(h, c)
-), cut AS (
+WITH cut AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), parts AS (
   SELECT page_id,
@@ -148,6 +144,9 @@ WITH feed AS (
     regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '(/|\.html)$', '')
       || CASE WHEN q = '' THEN '' ELSE '?' || q END AS canonical
   FROM (SELECT *, regexp_replace(array_to_string(list_filter(string_split(query, '&'), lambda x: NOT regexp_matches(x, '^(utm_[^=]*|ref)(=.*)?$')), '&'), '^&+', '') AS q FROM parts)
+), feed AS (
+  SELECT DISTINCT CASE WHEN starts_with(md5(canonical), '0') THEN canonical ELSE canonical || 'x' END AS canonical
+  FROM keyed WHERE canonical <> '' AND (starts_with(md5(canonical), '0') OR starts_with(md5(canonical), '1'))
 ), ruled AS (
   SELECT k.page_id, k.host, k.path, k.canonical, r.rule, r.verdict
   FROM keyed k

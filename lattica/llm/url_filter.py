@@ -29,8 +29,8 @@ def canonical_url(url: Column) -> Column:
     """``host/path?query``: no scheme, no leading ``www.`` or ``m.``, no closing ``/`` or ``.html``, no fragment, no ``utm_*`` or ``ref`` parameter."""
     host, path = host_and_path(url)
     query = F.regexp_extract(_rest(url), r"^[^?#]*\?([^#]*)", 1)
-    kept = F.regexp_replace(F.regexp_replace(query, r"(^|&)(utm_[^&=]*|ref)(=[^&]*)?(?=&|$)", ""), r"^&+", "")
-    return F.concat(F.regexp_replace(host, r"^(www|m)\.", ""), F.regexp_replace(path, r"(/|\.html)$", ""), F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(F.lit("")))
+    kept = F.regexp_replace(F.regexp_replace(query, r"(^|&)(utm_[^&=]*|ref)(=[^&]*)?(?=&|\z)", ""), r"^&+", "")
+    return F.concat(F.regexp_replace(host, r"^(www|m)\.", ""), F.regexp_replace(path, r"(/|\.html)\z", ""), F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(F.lit("")))
 
 
 def _hashes(key: Column, blocks: int) -> tuple[Column, list[Column]]:
@@ -89,8 +89,12 @@ def url_verdicts(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str,
     passed = probes.join(F.broadcast(bloom) if blocks <= BROADCAST_BLOCKS else bloom, "block")
     for w in range(WORDS):
         passed = passed.where(F.col(f"w{w}").bitwiseAND(F.col(f"p{w}")) == F.col(f"p{w}"))
-    hits = passed.select("canonical").join(listed, "canonical", "left_semi").withColumn("listed", F.lit(True))
-    return rows.join(hits, "canonical", "left").select(
+    hits = passed.select("canonical").join(listed.hint("shuffle_hash"), "canonical", "left_semi").withColumn("listed", F.lit(True))
+    # only rows that no rule decides ask the list
+    asks = F.col("ruled").isNull() & (F.col("canonical") != "")
+    told = rows.where(asks).join(hits, "canonical", "left").select("page_id", "host", "path", "rule", "ruled", "listed")
+    told = told.unionByName(rows.where(~asks).select("page_id", "host", "path", "rule", "ruled", F.lit(None).cast("boolean").alias("listed")))
+    return told.select(
         F.col("page_id").alias(id_col), "host", "path", "rule",
         F.coalesce("ruled", F.when(F.col("listed"), F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
         F.coalesce("listed", F.lit(False)).alias("listed"),
