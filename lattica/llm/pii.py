@@ -373,5 +373,8 @@ def replace_pii(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: s
     if len(rows) <= BROADCAST_OVERRIDES:
         return source.mapInArrow(rewrite({(r["pool"], r["canonical"]): r["attempt"] for r in rows}), schema)
     per_text = found.join(over, ["pool", "canonical"]).groupBy(F.col("text_key").alias("__key")).agg(F.collect_set(F.struct("pool", "canonical", "attempt")).alias("__own"))
-    joined = source.join(per_text, _text_key(text_col) == F.col("__key"), "left").select(*[source[c] for c in columns], "__own")
-    return joined.mapInArrow(rewrite(None), schema)
+    # texts that hold nothing to replace, null and empty ones among them, stay where they are
+    asks = F.coalesce(F.col(text_col).cast("string").rlike(MAYBE.replace(r"\b", "")), F.lit(False))
+    joined = source.where(asks).join(per_text, _text_key(text_col) == F.col("__key"), "left").select(*[source[c] for c in columns], "__own")
+    rest = source.where(~asks).withColumn("__own", F.lit(None).cast(per_text.schema["__own"].dataType))
+    return joined.unionByName(rest).mapInArrow(rewrite(None), schema)
