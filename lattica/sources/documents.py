@@ -138,6 +138,12 @@ def expand_template(spark: SparkSession, specs: Sequence[dict]) -> DataFrame:
     return out
 
 
-def wanted_meshes(path_df: DataFrame, mesh: str, wanted: DataFrame) -> DataFrame:
-    """Rows of the wanted cells only; a short list of cells reaches the Parquet scan as a filter by runtime pruning."""
-    return path_df.join(wanted.select(mesh).distinct(), mesh, "left_semi")
+def wanted_meshes(path_df: DataFrame, mesh: str, wanted: DataFrame, most: int = 10_000) -> DataFrame:
+    """Rows of the wanted cells only.
+
+    Up to ``most`` cells are a list in the plan, which reaches the Parquet scan
+    and passes over row groups without any of them; more are joined.
+    """
+    cells = wanted.where(F.col(mesh).isNotNull()).select(mesh).distinct()
+    few = [r[0] for r in cells.limit(most + 1).collect()]
+    return path_df.where(F.col(mesh).isin(*few)) if len(few) <= most else path_df.join(cells, mesh, "left_semi")
