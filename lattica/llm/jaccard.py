@@ -240,19 +240,27 @@ def similarity_components(docs: DataFrame, num: int = 90, den: int = 100, words:
     details = materialise(picked.mapInArrow(detail, "node long, point array<int>, sketch binary, shingles array<long>"), "jaccard-details")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs that link: the bound by minima first, then the sets."""
+        """The pairs that link: the bounds by minima and by sketches first, then the sets of those that are left."""
         pairs = materialise(pairs.distinct(), "jaccard-pairs")
 
-        def joined(pairs: DataFrame, column: str) -> DataFrame:
+        def joined(pairs: DataFrame, *columns: str) -> DataFrame:
             ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
             ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-            named = details.select("node", column).join(ids, "node", "left_semi")
-            side = lambda name: named.select(F.col("node").alias(name), F.col(column).alias(f"{column}_{name}"))
+            named = details.select("node", *columns).join(ids, "node", "left_semi")
+            side = lambda name: named.select(F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
             return pairs.join(side("a"), "a").join(side("b"), "b")
 
-        total = lambda c: F.aggregate(c, F.lit(0), lambda s, x: s + x)
-        minima = total(F.zip_with("point_a", "point_b", lambda x, y: F.least(x, y)))
-        alive = joined(pairs, "point").where(minima * (num + den) >= (total("point_a") + total("point_b")) * num).select("a", "b")
+        def bounded(batches):
+            for batch in batches:
+                x, y = (np.stack(batch.column(f"point_{s}").to_numpy(zero_copy_only=False)) if batch.num_rows else np.zeros((0, GROUPS)) for s in "ab")
+                both = x.sum(1) + y.sum(1)
+                bits = [np.frombuffer(b"".join(batch.column(f"sketch_{s}").to_pylist()), np.uint64).reshape(-1, SKETCH // 64) for s in "ab"]
+                apart = np.bitwise_count(bits[0] ^ bits[1]).sum(1, dtype=np.int64)
+                may = (np.minimum(x, y).sum(1) * (num + den) >= both * num) & (apart * (num + den) <= both * (den - num))
+                keep = pa.array(np.flatnonzero(may))
+                yield pa.RecordBatch.from_arrays([batch.column("a").take(keep), batch.column("b").take(keep)], ["a", "b"])
+
+        alive = joined(pairs, "point", "sketch").select("a", "b", "point_a", "point_b", "sketch_a", "sketch_b").mapInArrow(bounded, "a long, b long")
         alive = materialise(alive, "jaccard-alive")
         both = joined(alive, "shingles")
         shared = F.size(F.array_intersect("shingles_a", "shingles_b"))
