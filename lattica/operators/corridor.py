@@ -10,13 +10,21 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from . import screen
 from .constraints import GateError
+from .near import within_cells
 
 
 def outside_same_station(records: DataFrame, chain: DataFrame, corridor: str, name: str, lon: str, lat: str, km: float = 0.5) -> DataFrame:
-    """Records that are no other entry of a station of their corridor: none of that name lies within ``km``."""
-    there = chain.select(F.col(corridor).alias("__c"), F.col(name).alias("__name"), F.col(lon).alias("__x"), F.col(lat).alias("__y"))
-    near = geo.approx_km(F.col(lon), F.col(lat), F.col("__x"), F.col("__y"), geo.LAT_KM_SCREEN) <= km
-    return records.join(there, (F.col(corridor) == F.col("__c")) & (F.col(name) == F.col("__name")) & near, "left_anti")
+    """Records that are no other entry of a station of their corridor: none of that name lies within ``km``.
+
+    The places of a name in a corridor are held against each other, each once, by cells.
+    """
+    at = ["__c", "__name", "__x", "__y"]
+    distinct = lambda df, *names: df.select(*[F.col(c).alias(n) for c, n in zip((corridor, name, lon, lat), names, strict=True)]).distinct()
+    # a little wider, as the planar distance falls short of the true one
+    met = within_cells(distinct(records, *at), distinct(chain, "__c", "__name", "__sx", "__sy"), ("__x", "__y"), ("__sx", "__sy"), max(km, 1e-6) * 1.02, ["__c", "__name"])
+    near = met.where(geo.approx_km(F.col("__x"), F.col("__y"), F.col("__sx"), F.col("__sy"), geo.LAT_KM_SCREEN) <= km).select(*at).distinct()
+    same = [F.col(c) == F.col(n) for c, n in zip((corridor, name, lon, lat), at, strict=True)]
+    return records.join(near, same, "left_anti")
 
 
 def corridor_gaps(records: DataFrame, chain: DataFrame, corridor: str, key: str, name: str, seq: str, lon: str, lat: str, most: float, km: float = 0.5) -> DataFrame:

@@ -85,7 +85,10 @@ def nearest(points: DataFrame, anchors: DataFrame, key: str, lon: str = "lon", l
 
 
 def within_cells(a: DataFrame, b: DataFrame, at_a: tuple[str, str], at_b: tuple[str, str], km: float, on: Sequence[str] = ()) -> DataFrame:
-    """Pairs of rows of ``a`` and ``b`` that may be within ``km`` of each other over the surface, and have equal ``on``; a caller measures them."""
+    """Pairs of rows of ``a`` and ``b`` that may be within ``km`` of each other over the surface, and have equal ``on``; a caller measures them.
+
+    Neither side is broadcast: ``b`` is 27 times as large as its files let Spark guess.
+    """
     left = a.withColumn("__cell", cell(place(F.col(at_a[0]), F.col(at_a[1])), km))
     right = b.withColumn("__cell", F.explode(around(cell(place(F.col(at_b[0]), F.col(at_b[1])), km))))
-    return left.join(right, [*on, "__cell"]).drop("__cell")
+    return left.hint("merge").join(right, [*on, "__cell"]).drop("__cell")

@@ -31,3 +31,12 @@ def test_detours_of_records_and_edges_that_are_alike(spark):
     rows, most = collected(screen.detour_screen(records, edge, "c", "r", "x", "y", 1.3))
     assert sorted((r["r"], round(r["ratio"], 9), r["edge_index"]) for r in rows) == [(i, 1.0, 0) for i in range(300)]
     assert most <= 300
+
+
+def test_gaps_of_a_pool_whose_places_repeat(spark):
+    pool = spark.range(200).select(F.lit(1).alias("c"), (F.col("id") + 1000).alias("key"), F.lit("new").alias("name"), F.lit(139.5).alias("lon"), F.lit(35.5).alias("lat"))
+    line = spark.range(200).select(F.lit(1).alias("c"), F.col("id").alias("key"), F.col("id").alias("seq"), F.when(F.col("id") == 7, "new").otherwise("s").alias("name"), (139.0 + F.col("id") % 2).alias("lon"), F.lit(35.5).alias("lat"))
+    rows, most = collected(corridor.corridor_gaps(pool, line, "c", "key", "name", "seq", "lon", "lat", 1.2, km=5))
+    assert len(rows) == 200 and most <= 200
+    # a station of that name within reach keeps them out
+    assert corridor.corridor_gaps(pool, line, "c", "key", "name", "seq", "lon", "lat", 1.2, km=50).isEmpty()
