@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import ordered_hash
 from . import corridor as gates
 from . import screen
+from .checkpoints import checkpointed
 
 #: How a name was resolved, the states of a correction, the form of a decision's id, the bounds of the detour ratio.
 RESOLUTIONS = ("confirmed_manual_extension", "confirmed_source_route", "confirmed_same_group_seed", "unresolved_no_match", "unresolved_ambiguous")
@@ -193,7 +194,7 @@ def completeness(chain: DataFrame, pool: DataFrame, corrections: DataFrame, inse
     not found in their place, counts that do not add up, and a stated status
     that the derived one contradicts.
     """
-    gaps = gates.corridor_gaps(pool, chain, "corridor", "source_key", "name", "place", "lon", "lat", ratio)
+    gaps = checkpointed(gates.corridor_gaps(pool, chain, "corridor", "source_key", "name", "place", "lon", "lat", ratio))
     state = corrections.select("corridor", "status")
     waiting = insertions.join(state.where(F.col("status").isin(*PENDING)), "corridor").select(*insertions.columns)
     explained = context.select("corridor", "source_key").unionByName(exclusions.select("corridor", "source_key")).distinct()

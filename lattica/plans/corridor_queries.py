@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import corridor, corridor_build
+from ..operators.checkpoints import checkpointed
 from .assembly_queries import _CHAIN_SQL, _stations
 from .carriers import approx_sql, lat, lat_sql, lon, lon_sql, query, read
 
@@ -122,7 +123,7 @@ def corridor_completeness_states(spark, d):
     named = lambda df: df.withColumnRenamed("key", "source_key")
     pool = named(_stations(read(spark, d, "customer", "c_nationkey", "c_custkey"), "c_nationkey", "c_custkey"))
     chain = named(_stations(read(spark, d, "supplier", "s_suppkey"), "s_suppkey", "s_suppkey")).withColumn("place", F.col("source_key"))
-    gaps = corridor.corridor_gaps(pool, chain, "corridor", "source_key", "name", "place", "lon", "lat", 1.35)
+    gaps = checkpointed(corridor.corridor_gaps(pool, chain, "corridor", "source_key", "name", "place", "lon", "lat", 1.35))
     k, c = F.col("source_key"), F.col("corridor")
     waiting = gaps.where(c.isin(1, 2, 4) & ((k % 2 == 0) | (c == 2))).select("corridor", "source_key", F.when(k % 10 == 0, "elsewhere").otherwise(F.col("after")).alias("after"), "before")
     insertions = waiting.unionByName(chain.where((c == 3) & (k % 50 < 20)).select("corridor", "source_key", F.col("name").alias("after"), F.col("name").alias("before")))
