@@ -40,3 +40,10 @@ def test_gaps_of_a_pool_whose_places_repeat(spark):
     assert len(rows) == 200 and most <= 200
     # a station of that name within reach keeps them out
     assert corridor.corridor_gaps(pool, line, "c", "key", "name", "seq", "lon", "lat", 1.2, km=50).isEmpty()
+
+
+def test_near_collisions_broadcast_nothing(spark):
+    df = spark.range(100).select("id", F.lit("n").alias("name"), (F.col("id") % 2).alias("g"), F.lit(139.0).alias("lon"), (35 + F.col("id") * 0.5).alias("lat"))
+    found = screen.near_collisions(df.union(df.select(F.col("id") + 100, "name", 1 - F.col("g"), "lon", "lat")), "id", "name", "g", "lon", "lat", 1.0)
+    assert len(found.collect()) == 100
+    assert not [p for p in nodes(found._jdf.queryExecution().executedPlan()) if "Broadcast" in p.nodeName()]
