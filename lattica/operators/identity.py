@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,22 +16,23 @@ def resolve_names(wanted: DataFrame, pool: DataFrame, on: Sequence[str], preferr
 
     Candidates agree on ``on``; if any also agrees on ``preferred``, only those
     count.  None: ``no_match``.  One, or several of one non-blank group:
-    ``confirmed``, the first by key.  Else ``ambiguous``.
+    ``confirmed``, the first by key.  Else ``ambiguous``.  ``row_id`` is unique.
     """
-    cands = pool.select(*on, F.col(preferred).alias("__route"), F.col(key).alias("source_key"), F.col(group).alias("__group")).distinct()
-    rows = wanted.select(row_id, *on, preferred).join(cands, list(on), "left")
-    mine = Window.partitionBy(row_id)
-    rows = rows.withColumn("__pref", F.coalesce(F.col("__route") == F.col(preferred), F.lit(False)))
-    rows = rows.withColumn("__any", F.max("__pref").over(mine)).where(F.col("__pref") | ~F.col("__any"))
-    found = rows.groupBy(row_id).agg(
-        F.count_distinct("source_key").alias("candidates"),
-        F.min("source_key").alias("__first"),
-        F.count_distinct("__group").alias("__groups"),
-        F.bool_and(F.coalesce(F.col("__group"), F.lit("")) != "").alias("__named"),
-    )
-    n = F.col("candidates")
-    status = F.when(n == 0, "no_match").when((n == 1) | (F.col("__named") & (F.col("__groups") == 1)), "confirmed").otherwise("ambiguous")
-    return found.select(row_id, F.when(status == "confirmed", F.col("__first")).alias("source_key"), status.alias("resolution"), "candidates")
+    cands = pool.select(*[F.col(c).alias(f"__{c}") for c in on], F.col(preferred).alias("__route"), F.col(key).alias("__key"), F.col(group).alias("__group")).distinct()
+    rows = wanted.select(row_id, *on, preferred).distinct()
+    # what the candidates of a name come to is counted once, not for each row that asks for it
+    told = [
+        F.count_distinct("__key").alias("n"), F.min("__key").alias("first"), F.count_distinct("__group").alias("groups"), F.bool_and(F.coalesce(F.col("__group"), F.lit("")) != "").alias("named"),
+    ]
+    names = [f"__{c}" for c in on]
+    every = cands.groupBy(*names).agg(*told).select(*names, F.struct("n", "first", "groups", "named").alias("__every"))
+    mine = cands.where("__route is not null").groupBy(*names, "__route").agg(*told).select(*[F.col(c).alias(f"_{c}") for c in (*names, "__route")], F.struct("n", "first", "groups", "named").alias("__mine"))
+    same = lambda prefix: reduce(Column.__and__, [F.col(c) == F.col(f"{prefix}{c}") for c in on])
+    rows = rows.join(every, same("__"), "left").join(mine, same("___") & (F.col(preferred) == F.col("___route")), "left")
+    c = F.coalesce("__mine", "__every")
+    n = F.coalesce(c["n"], F.lit(0))
+    status = F.when(n == 0, "no_match").when((n == 1) | (c["named"] & (c["groups"] == 1)), "confirmed").otherwise("ambiguous")
+    return rows.select(row_id, F.when(status == "confirmed", c["first"]).alias("source_key"), status.alias("resolution"), n.alias("candidates"))
 
 
 def registry_resolve(keys: DataFrame, base: DataFrame, extension: DataFrame, key: str, value: str) -> DataFrame:
@@ -149,11 +151,21 @@ def replay_decisions(decisions: DataFrame, links: DataFrame) -> DataFrame:
     Confirmed: the hub's groups are those of the decision.  Duplicate: the hub
     exists.  Rejected: no hub holds all of the decision's groups.
     """
-    hubs = links.groupBy("hub_key").agg(F.array_sort(F.collect_set("group_key")).alias("__groups"))
+    # sizes and counts of matches stand for the sets of groups, which may be large: no row carries a hub's groups
+    pairs = links.where("hub_key is not null").select("hub_key", "group_key").distinct()
+    sizes = pairs.groupBy(F.col("hub_key").alias("__hub")).agg(F.count("group_key").alias("__size"))
     d = decisions.withColumn("__want", F.array_sort(F.array_distinct("station_group_keys")))
-    direct = d.join(hubs, F.col("target_hub_key") == F.col("hub_key"), "left")
-    per = links.join(d.select("source_key", "__want", F.explode("__want").alias("group_key")), "group_key").groupBy("source_key", "hub_key").agg(F.count_distinct("group_key").alias("n"), F.first("__want").alias("__w"))
-    together = per.where(F.col("n") == F.size("__w")).select("source_key").distinct().withColumn("__together", F.lit(True))
-    out = direct.join(together, "source_key", "left")
-    agrees = F.when(F.col("decision") == "confirm_hub", F.coalesce(F.col("__groups") == F.col("__want"), F.lit(False))).when(F.col("decision") == "resolve_duplicate", F.col("__groups").isNotNull()).otherwise(F.col("__together").isNull())
+    kind = F.coalesce("decision", F.lit(""))
+    confirms, rejects = kind == "confirm_hub", ~kind.isin("confirm_hub", "resolve_duplicate")
+    asked = d.where(confirms).select("target_hub_key", "__want").distinct().select("target_hub_key", "__want", F.explode("__want").alias("group_key"))
+    held = asked.join(pairs.withColumnRenamed("hub_key", "target_hub_key"), ["target_hub_key", "group_key"]).groupBy(F.col("target_hub_key").alias("__t"), F.col("__want").alias("__w")).agg(F.count("*").alias("__held"))
+    wants = d.where(rejects).select("__want").distinct().select("__want", F.explode("__want").alias("group_key"))
+    full = pairs.join(wants, "group_key").groupBy(F.col("__want").alias("__r"), "hub_key").agg(F.count("*").alias("n")).where(F.col("n") == F.size("__r"))
+    together = full.select("__r").distinct()
+    out = d.join(sizes, F.col("target_hub_key") == F.col("__hub"), "left")
+    out = out.join(held, confirms & (F.col("target_hub_key") == F.col("__t")) & (F.col("__want") == F.col("__w")), "left")
+    out = out.join(together, rejects & (F.col("__want") == F.col("__r")), "left")
+    want = F.size("__want")
+    equal = F.coalesce((F.col("__size") == want) & (F.coalesce("__held", F.lit(0)) == want), F.lit(False))
+    agrees = F.when(confirms, equal).when(F.col("decision") == "resolve_duplicate", F.col("__hub").isNotNull()).otherwise(F.col("__r").isNull())
     return out.select("source_key", agrees.alias("agrees"))

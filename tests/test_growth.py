@@ -47,3 +47,12 @@ def test_near_collisions_broadcast_nothing(spark):
     found = screen.near_collisions(df.union(df.select(F.col("id") + 100, "name", 1 - F.col("g"), "lon", "lat")), "id", "name", "g", "lon", "lat", 1.0)
     assert len(found.collect()) == 100
     assert not [p for p in nodes(found._jdf.queryExecution().executedPlan()) if "Broadcast" in p.nodeName()]
+
+
+def test_names_asked_for_often_and_held_often(spark):
+    pool = spark.range(200).select(F.lit("n").alias("name"), F.when(F.col("id") < 3, "a").otherwise("b").alias("route"), "id", F.when(F.col("id") < 3, "g").otherwise("h").alias("grp"))
+    wanted = spark.range(200).select(F.col("id").alias("row"), F.when(F.col("id") == 9, "none").otherwise("n").alias("name"), F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 3 == 1, "c").alias("route"))
+    rows, most = collected(identity.resolve_names(wanted, pool, ["name"], "route", "id", "grp", "row"))
+    got = {r["row"]: (r["source_key"], r["resolution"], r["candidates"]) for r in rows}
+    assert got[0] == (0, "confirmed", 3) and got[1] == got[2] == (None, "ambiguous", 200) and got[9] == (None, "no_match", 0)
+    assert len(rows) == 200 and most <= 200
