@@ -56,3 +56,15 @@ def test_names_asked_for_often_and_held_often(spark):
     got = {r["row"]: (r["source_key"], r["resolution"], r["candidates"]) for r in rows}
     assert got[0] == (0, "confirmed", 3) and got[1] == got[2] == (None, "ambiguous", 200) and got[9] == (None, "no_match", 0)
     assert len(rows) == 200 and most <= 200
+
+
+def test_decisions_do_not_carry_the_groups_of_a_hub(spark):
+    links = spark.createDataFrame([("h", i) for i in range(500)] + [("s", 1), ("s", 2), ("s", 2), ("e", None)], "hub_key string, group_key long")
+    said = [
+        ("a", "confirm_hub", "s", [2, 1, 1]), ("b", "confirm_hub", "s", [1]), ("c", "confirm_hub", "h", [1, 2]), ("d", "confirm_hub", "x", [1]), ("e", "confirm_hub", "s", None), ("f", "confirm_hub", "e", []), ("g", "confirm_hub", "s", [1, None]),
+        ("h", "resolve_duplicate", "h", None), ("i", "resolve_duplicate", "x", None), ("j", "reject_hub", None, [1, 2]), ("k", "reject_hub", None, [1, 900]), ("l", "reject_hub", None, []), ("m", None, "s", [499]), ("n", "confirm_hub", "s", [1, 3]),
+    ]
+    df = identity.replay_decisions(spark.createDataFrame(said, "source_key string, decision string, target_hub_key string, station_group_keys array<long>"), links)
+    rows = df.collect()
+    assert {r["source_key"]: r["agrees"] for r in rows} == dict(a=True, b=False, c=False, d=False, e=False, f=True, g=False, h=True, i=False, j=False, k=True, l=True, m=False, n=False)
+    assert "collect_set" not in df._jdf.queryExecution().toString()
