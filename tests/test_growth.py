@@ -1,8 +1,10 @@
 """Work that grows with the rows and not with the pairs of rows that are alike: rows that joins make, and what is broadcast."""
 
+import duckdb
 from pyspark.sql import functions as F
 
-from lattica.operators import corridor, identity, screen
+from lattica.operators import clip, corridor, identity, screen
+from lattica.plans import rail_queries
 
 
 def nodes(plan):
@@ -68,3 +70,19 @@ def test_decisions_do_not_carry_the_groups_of_a_hub(spark):
     rows = df.collect()
     assert {r["source_key"]: r["agrees"] for r in rows} == dict(a=True, b=False, c=False, d=False, e=False, f=True, g=False, h=True, i=False, j=False, k=True, l=True, m=False, n=False)
     assert "collect_set" not in df._jdf.queryExecution().toString()
+
+
+def test_sections_on_rectangles_that_are_alike(spark):
+    sections = spark.range(50).select(F.col("id").alias("s"), F.lit(1).alias("k"), F.expr("array(named_struct('lon', 0.0d, 'lat', 0.5d), named_struct('lon', 3.0d, 'lat', 0.5d))").alias("p"))
+    box = lambda df, x, first: df.select((F.col("id") + first).alias("b"), F.lit(1).alias("k"), F.lit(x).alias("min_lon"), F.lit(0.0).alias("min_lat"), F.lit(x + 0.5).alias("max_lon"), F.lit(1.0).alias("max_lat"))
+    boxes = box(spark.range(40), 1.0, 10).union(box(spark.range(2), 2.0, 3))
+    rows, most = collected(clip.clip_sections(sections, boxes, "s", "p", "b", ["k"], cell=5.0, every=False))
+    assert len(rows) == 50 and {(tuple(r["boxes"]), r["n_boxes"], len(r["parts"])) for r in rows} == {((3, 10), 42, 2)}
+    assert most <= 100
+    whole = clip.clip_sections(sections, boxes, "s", "p", "b", ["k"], cell=5.0).collect()
+    assert {tuple(r["boxes"]) for r in whole} == {(3, 4, *range(10, 50))}
+
+
+def test_rounding_as_in_sql(spark):
+    v = 35.863437499999996
+    assert spark.range(1).select(rail_queries._six(F.lit(v)).alias("v")).first()["v"] == duckdb.sql(f"select round({v}::double, 6)").fetchall()[0][0] != round(v, 6)
