@@ -20,16 +20,13 @@ def as_list(value: Column) -> Column:
 def kind(value: Column) -> Column:
     """``object``, ``list``, ``text``, ``boolean``, ``number``, ``null``; null where there is no value."""
     name = F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0)
-    known = {"OBJECT": "object", "ARRAY": "list", "STRING": "text", "BOOLEAN": "boolean", "VOID": "null"}
-    out = F.when(name.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), "number")
-    for k, v in known.items():
-        out = out.when(name == k, v)
-    return out
+    known = {"OBJECT": "object", "ARRAY": "list", "STRING": "text", "BOOLEAN": "boolean", "VOID": "null", **dict.fromkeys(("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), "number")}
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in known.items() for x in pair]), name)
 
 
 def member(value: Column, name: str) -> Column:
-    """A member of an object as it is, null if it has none of that name."""
-    return F.try_element_at(as_object(value), F.lit(name))
+    """A member of an object as it is, null if it has none of that name; the other members are not touched.  ``name`` holds no quote."""
+    return F.try_variant_get(value, f"$['{name}']", "variant")
 
 
 def text(value: Column) -> Column:

@@ -3,7 +3,7 @@
 import duckdb
 from pyspark.sql import functions as F
 
-from lattica.operators import clip, corridor, identity, screen
+from lattica.operators import clip, corridor, identity, screen, submission
 from lattica.plans import rail_queries
 
 
@@ -86,3 +86,15 @@ def test_sections_on_rectangles_that_are_alike(spark):
 def test_rounding_as_in_sql(spark):
     v = 35.863437499999996
     assert spark.range(1).select(rail_queries._six(F.lit(v)).alias("v")).first()["v"] == duckdb.sql(f"select round({v}::double, 6)").fetchall()[0][0] != round(v, 6)
+
+
+def test_kinds_and_members_of_a_large_payload(spark):
+    cases = spark.createDataFrame([("a", "calibration")], "case_id string, split string")
+    payload = '{"registry_sha256":"h","predictions":[5,{"golden_eval_id":"a","metrics":{}},{"golden_eval_id":"a","metrics":{"m":{"value":1,"status":"guessed"}}},{"golden_eval_id":null,"metrics":3}]}'
+    df = submission.read_submissions(spark.createDataFrame([(1, payload), (2, " [1]"), (3, "{")], "submission int, payload string"), cases, "h", ["m"]).faults
+    got = {(r["submission"], r["case_id"]): r["reasons"] for r in df.collect()}
+    assert got[(2, None)] == got[(3, None)] == "no_object"
+    assert got[(1, "a")] == "m:not_a_count+m:unknown_status+repeated".replace("m:not_a_count+", "").replace("m:unknown_status", "m:unknown_status+m:value_with_missing_status")
+    assert {"prediction_no_object", "undeclared_metric", "unknown_case", "contracts"} <= set(got[(1, None)].split("+"))
+    # each payload is parsed in two passes at most: its head and its predictions
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("parse_json") + df._jdf.queryExecution().optimizedPlan().toString().count("parseJson") <= 2
