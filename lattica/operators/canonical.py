@@ -59,12 +59,14 @@ def canonical_faults(tables: Mapping[str, DataFrame], relations: Mapping[str, Re
     if unknown or not tables:
         raise GateError(f"relations that are not known: {unknown}" if unknown else "no relation is given")
     entries = reduce(DataFrame.unionByName, [_entries(df, name, relations[name]) for name, df in tables.items()])
-    alone = entries.where("target = '' or (target is null and rows > 1)")
     targets = sorted({t for name in tables for t in relations[name].refers.values()} & set(tables))
+    told = entries.where(F.col("target").isNull() & (F.col("rows") > 1) | F.col("target").isin("", *targets))
     if targets:
+        # one join over all that is left, so that no relation is read again for its references
         known = reduce(DataFrame.unionByName, [tables[t].select(F.lit(t).alias("target"), _text(relations[t].key).alias("key")) for t in targets])
-        alone = alone.unionByName(entries.where(F.col("target").isin(targets)).join(known, ["target", "key"], "left_anti"))
-    return alone.select("relation", "constraint", "key", "rows")
+        # not an anti join, which Spark would push below the counts, to every row
+        told = told.join(known.withColumn("__known", F.lit(True)), ["target", "key"], "left").where("__known is null")
+    return told.select("relation", "constraint", "key", "rows")
 
 
 def canonical_gate(tables: Mapping[str, DataFrame], relations: Mapping[str, Relation] = RELATIONS) -> dict[str, int]:

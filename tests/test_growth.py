@@ -4,7 +4,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 from lattica.operators import clip, corridor, identity, screen, submission
-from lattica.plans import rail_queries
+from lattica.plans import canonical_queries, rail_queries
 
 
 def nodes(plan):
@@ -98,3 +98,8 @@ def test_kinds_and_members_of_a_large_payload(spark):
     assert {"prediction_no_object", "undeclared_metric", "unknown_case", "contracts"} <= set(got[(1, None)].split("+"))
     # each payload is parsed in two passes at most: its head and its predictions
     assert df._jdf.queryExecution().optimizedPlan().toString().count("parse_json") + df._jdf.queryExecution().optimizedPlan().toString().count("parseJson") <= 2
+
+
+def test_relations_are_exploded_once(spark, sf):
+    plan = canonical_queries.canonical_violations(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == len(canonical_queries.MADE)
