@@ -11,6 +11,9 @@ from .constraints import GateError, observation_faults
 
 #: The state of a component's geometry, and whether a cell's components are to be summed by scope.
 GEOMETRY, SINGLE, SEVERAL = "full_mesh_geometry_not_administrative_partition_clip", "single_prefecture_component", "requires_scope_aware_prefecture_component_sum"
+#: Features of a key are dealt into so many parts, parts into so many tasks, and a part is cut into blocks of so many.  A task's
+#: features fit one Parquet dictionary (131,072 longs) up to some 8 million of them, so that no value is written out each time.
+PARTS, TASKS, BLOCK = 128, 64, 256
 
 
 def _reasons(*reasons: Column) -> Column:
@@ -81,9 +84,20 @@ def kept_assertions(assertions: DataFrame, allowed: DataFrame, key: str = "asser
 
 
 def feature_fan_out(features: DataFrame, crosswalk: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """(each feature by every row of the crosswalk that has its key, keys of features that have none with their number)."""
+    """(each feature by every row of the crosswalk that has its key, keys of features that have none with their number).
+
+    The rows grow with the square of a key's.  A block of up to ``BLOCK`` features of one key meets a row of the
+    crosswalk at once, so that alike values stand together and a written result takes a fraction of the disk.
+    """
     none = features.join(crosswalk.select(key).distinct(), key, "left_anti").groupBy(key).agg(F.count("*").alias("features"))
-    return features.join(crosswalk, key), none
+    dealt = [F.col(f"`{c}`") for c, kind in features.dtypes if "map<" not in kind and "variant" not in kind]
+    rows = features.select(key, F.pmod(F.xxhash64(*dealt), F.lit(PARTS)).alias("__part"), F.struct(*[f"`{c}`" for c in features.columns]).alias("__row"))
+    parts = rows.repartition(TASKS, key, "__part").groupBy(key, "__part").agg(F.collect_list("__row").alias("__rows"))
+    blocks = F.transform(F.sequence(F.lit(1), F.size("__rows"), F.lit(BLOCK)), lambda i: F.slice("__rows", i, BLOCK))
+    met = parts.select(key, F.explode(blocks).alias("__block")).join(crosswalk, key).withColumn("__row", F.explode("__block"))
+    # the key as the feature has it: a group has one for all its ways of writing (-0.0, collations)
+    mine = [F.col("__row").getField(c).alias(c) for c in (key, *features.drop(key).columns)]
+    return met.select(*mine, *[F.col(f"`{c}`") for c in crosswalk.drop(key).columns]), none
 
 
 def station_points(crosswalk: DataFrame, stations: DataFrame, corridor: Column, station: str, lon: str, lat: str) -> DataFrame:

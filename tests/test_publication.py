@@ -36,6 +36,25 @@ def test_assertions_and_fan_out(spark):
     assert {(r["f"], r["t"]) for r in out.collect()} == {(1, "x"), (1, "y")} and [tuple(r) for r in none.collect()] == [("b", 2)]
 
 
+def test_fan_out_by_blocks_is_the_join(spark):
+    f = spark.range(40_000).selectExpr("case when id % 10 = 0 then null when id % 10 = 1 then 'b' else 'a' end key", "if(id % 7 = 0, null, id div 2) `f.x`", "map('m', id) m")
+    walk = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", None), (None, "n"), ("c", "z")], "key string, t string")
+    out, plain = p.feature_fan_out(f, walk, "key")[0], f.join(walk, "key")
+    assert out.columns == plain.columns and out.dtypes == plain.dtypes
+    text = lambda df: df.withColumn("m", F.col("m")["m"])
+    assert out.count() == 32_000 * 3 and text(out).exceptAll(text(plain)).isEmpty() and text(plain).exceptAll(text(out)).isEmpty()
+    assert p.feature_fan_out(f.limit(0), walk, "key")[0].isEmpty() and p.feature_fan_out(f, walk.limit(0), "key")[0].isEmpty()
+    zero = spark.createDataFrame([(-0.0, 1), (0.0, 2)], "key double, f int")
+    assert {(str(r["key"]), r["f"]) for r in p.feature_fan_out(zero, spark.createDataFrame([(0.0, "x")], "key double, t string"), "key")[0].collect()} == {("-0.0", 1), ("0.0", 2)}
+
+
+def test_fan_out_puts_alike_values_together(spark):
+    # features of 5 keys in turn, 4 rows of the crosswalk each: a value of the crosswalk that changes from row to row is written each time
+    f, walk = spark.range(20_000).selectExpr("id % 5 key", "id f"), spark.range(20).selectExpr("id % 5 key", "id t")
+    out = p.feature_fan_out(f, walk, "key")[0].select(F.spark_partition_id().alias("at"), "t").collect()
+    assert len(out) == 80_000 and sum(a != b for a, b in zip(out, out[1:])) < len(out) / 10
+
+
 def test_station_points(spark):
     walk = spark.createDataFrame([("c", "s1"), ("c", "s1"), ("d", "s9")], "corridor string, station string")
     points = spark.createDataFrame([("s1", 1.0, 2.0)], "station string, lon double, lat double")
